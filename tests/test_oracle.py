@@ -1,0 +1,36 @@
+"""Every registered query against its DuckDB counterpart on the sample tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_points
+from tests.compare import assert_same, connect
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+
+# Results may be empty only where the feature allows it.
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables absent")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = connect(FOLDER)
+    yield con
+    con.close()
+
+
+def test_each_query_has_an_oracle():
+    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry_points.queries()))
+def test_matches_oracle(spark, duck, name):
+    df = entry_points.queries()[name](spark, FOLDER)
+    assert assert_same(df, duck, entry_points.oracle_sql()[name]) > 0
+
+
+def test_entry_runs(spark):
+    assert entry_points.entry(spark).count() > 0

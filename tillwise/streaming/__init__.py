@@ -1,0 +1,2 @@
+"""Intentionally empty: the feed is a static batch file and every output is a full
+replace, so there is no stream, watermark or state to keep."""
