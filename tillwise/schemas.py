@@ -84,3 +84,16 @@ REPORTS = {
         "retention_pct double, avg_lifetime_revenue double, avg_orders double"
     ),
 }
+
+# Columns of the sample tables that the adapter reads.
+SAMPLE_TABLES = {
+    "lineitem": _schema(
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string"
+    ),
+    "orders": _schema(
+        "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "customer": _schema("c_custkey bigint, c_nationkey int"),
+    "nation": _schema("n_nationkey int, n_name string"),
+}

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise import schemas
 from tillwise.config import AnalyticsConfig
 
 # Fixed value: the last order date of the sample tables.
@@ -14,14 +15,16 @@ SAMPLE_CONFIG = AnalyticsConfig(as_of=date(2001, 8, 1))
 
 
 def sample_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(schemas.SAMPLE_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_from_sample_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with their order's customer and country, in the raw column layout.
 
     Country names are attached to the orders first, so the wide line table takes part in
-    one join only. Cancellations, bad quantities, zero prices and missing customer ids
+    one join only. Lines and order headers both grow with the data, so that join is asked
+    to be a merge join: compressed file sizes would let Spark broadcast either side at small
+    scale, and a merge join can spill and have its hot keys split. Cancellations, bad quantities, zero prices and missing customer ids
     are laid in by fixed rules on the line itself.
     """
     lines = sample_table(spark, folder, "lineitem")
@@ -38,7 +41,8 @@ def raw_from_sample_tables(spark: SparkSession, folder: str) -> DataFrame:
     order_number = F.col("o_orderkey").cast("string")
     quantity = F.col("l_quantity").cast("bigint")
 
-    return lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    joined = lines.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
         F.when(cancelled, F.concat(F.lit("C"), order_number))
         .otherwise(order_number)
         .alias("invoice"),
