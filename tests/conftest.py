@@ -9,11 +9,17 @@ from tillwise.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def checkpoint_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("checkpoints"))
+
+
+@pytest.fixture(scope="session")
+def spark(checkpoint_folder):
     session = build_session(
         "tillwise-tests",
         **{
             "spark.master": "local[8]",
+            "spark.checkpoint.dir": checkpoint_folder,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.sql.shuffle.partitions": "8",
