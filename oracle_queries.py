@@ -88,6 +88,7 @@ STEPS: dict[str, tuple[list[str], str]] = {
         ["ranked"],
         """
         SELECT customer_id, first_order_date, second_order_date,
+               strftime(first_order_date, '%Y-%m') AS cohort_month,
                CAST(datediff('day', first_order_date, second_order_date) AS INTEGER)
                    AS time_to_second_order_days,
                CAST(coalesce(datediff('day', first_order_date, second_order_date) <= 30, FALSE)
@@ -125,7 +126,7 @@ STEPS: dict[str, tuple[list[str], str]] = {
         f"""
         SELECT customer_id, last_order_date, total_orders,
                CAST(amount AS DOUBLE) AS total_revenue, total_items, country,
-               first_order_date, strftime(first_order_date, '%Y-%m') AS cohort_month,
+               first_order_date, cohort_month,
                CAST(datediff('day', last_order_date, {AS_OF}) AS INTEGER) AS recency_days,
                total_orders AS frequency,
                CAST(ROUND(CAST(amount AS DECIMAL(38,10)), 2) AS DOUBLE) AS monetary,

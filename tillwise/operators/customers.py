@@ -33,17 +33,8 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
-def _gap_columns(config: AnalyticsConfig) -> dict[str, Column]:
-    gap = F.date_diff("second_order_date", "first_order_date")
-    return {
-        "time_to_second_order_days": gap,
-        "had_repeat_within_30d": _flag(gap <= config.repeat_days),
-        "made_second_purchase": _flag(F.col("second_order_date").isNotNull()),
-    }
-
-
 def purchase_gaps(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    """First and second order date per customer and the days between them.
+    """First and second order date per customer, cohort and days between the two dates.
 
     Order rows are ranked, so a second row on the first day is a second purchase with
     gap 0. The rank filter lets Spark cut each customer to two rows per map task before
@@ -60,10 +51,18 @@ def purchase_gaps(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
     def date_at(rank: int) -> Column:
         return F.max(F.when(F.col("order_rank") == rank, F.col("order_date")))
 
+    gap = F.date_diff("second_order_date", "first_order_date")
     return (
         first_two.groupBy("customer_id")
         .agg(date_at(1).alias("first_order_date"), date_at(2).alias("second_order_date"))
-        .withColumns(_gap_columns(config))
+        .withColumns(
+            {
+                "cohort_month": month_key(F.col("first_order_date")),
+                "time_to_second_order_days": gap,
+                "had_repeat_within_30d": _flag(gap <= config.repeat_days),
+                "made_second_purchase": _flag(F.col("second_order_date").isNotNull()),
+            }
+        )
     )
 
 
@@ -78,70 +77,43 @@ def most_frequent(rows: DataFrame, key: str, value: str, name: str) -> DataFrame
     return counts.groupBy(key).agg(F.min(ranked)["value"].alias(name))
 
 
-def customer_features(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    """Purchase history, value and churn per customer, in one pass over the orders.
+def customer_totals(orders: DataFrame) -> DataFrame:
+    """Last order, distinct invoices, items and revenue per customer.
 
-    A single grouping-sets aggregate brings the orders to three grains: customer x
-    invoice (for the distinct invoice count), customer x day (dates, totals) and
-    customer x country (most frequent country). Its shuffle key holds the finer column,
-    so no customer is a hot key there. The second aggregate combines on the map side;
-    what one customer can bring to it is bounded by the calendar days and the countries.
+    The distinct count makes Spark combine and shuffle on (customer, invoice) first and
+    only then, combined again per task, on the customer: no customer is a hot key.
     """
-    grains = (
+    return (
         orders.filter(F.col("customer_id").isNotNull())
-        .groupingSets(
-            [
-                ["customer_id", "invoice"],
-                ["customer_id", "order_date"],
-                ["customer_id", "country"],
-            ],
-            "customer_id",
-            "invoice",
-            "order_date",
-            "country",
-        )
+        .groupBy("customer_id")
         .agg(
-            F.count(F.lit(1)).alias("order_rows"),
-            F.sum("total_items").alias("items"),
+            F.max("order_date").alias("last_order_date"),
+            F.count_distinct("invoice").alias("total_orders"),
+            F.sum("total_items").alias("total_items"),
             total_money(F.col("total_revenue")).alias("revenue"),
         )
     )
-    per_day = F.col("order_date").isNotNull()
-    per_country = F.col("country").isNotNull()
-    day = F.struct("order_date", "order_rows")
-    country_rank = F.struct((-F.col("order_rows")).alias("order"), F.col("country"))
-
-    history = grains.groupBy("customer_id").agg(
-        F.count("invoice").alias("total_orders"),
-        F.max("order_date").alias("last_order_date"),
-        F.sum(F.when(per_day, F.col("items"))).alias("total_items"),
-        F.sum(F.when(per_day, F.col("revenue"))).alias("revenue"),
-        F.min(F.when(per_country, country_rank))["country"].alias("country"),
-        # At most one entry per calendar day.
-        F.array_sort(F.collect_list(F.when(per_day, day))).alias("days"),
-    )
 
-    first_day = F.get("days", F.lit(0))
-    second_day = F.get("days", F.lit(1))
+
+def customer_features(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+    """Purchase history, value and churn, one row per customer.
+
+    Three narrow aggregates over the orders, each with its own skew-safe shuffle, joined
+    on the customer they all end up partitioned by. ``orders`` is read once per
+    aggregate: pass a stored table.
+    """
     recency = F.date_diff(F.lit(config.as_of), "last_order_date")
     return (
-        history.withColumns(
-            {
-                "first_order_date": first_day["order_date"],
-                "second_order_date": F.when(
-                    first_day["order_rows"] > 1, first_day["order_date"]
-                ).otherwise(second_day["order_date"]),
-            }
-        )
+        customer_totals(orders)
+        .join(most_frequent(orders, "customer_id", "country", "country"), "customer_id", "left")
+        .join(purchase_gaps(orders, config), "customer_id", "left")
         .withColumns(
             {
                 "total_revenue": F.col("revenue").cast("double"),
                 "monetary": rounded(F.col("revenue"), 2),
                 "frequency": F.col("total_orders"),
-                "cohort_month": month_key(F.col("first_order_date")),
                 "recency_days": recency,
                 "churned": _flag(recency > config.churn_days),
-                **_gap_columns(config),
             }
         )
         .select(*FEATURE_COLUMNS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwise import schemas
@@ -42,10 +42,10 @@ def cancellations_of_raw(raw: DataFrame) -> DataFrame:
 
 
 def scored_customers(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    """Features with scores and tier.
+    """Features with scores and tier, from stored orders.
 
     Scores need the quartiles of all customers first, so the feature rows are staged:
-    the way from the lines to the customers is then done once, not once per reader.
+    the way from the orders to the customers is then done once, not once per reader.
     """
     features = stage(customer_features(orders, config), "customer-features")
     return add_rfm(features, quartile_edges(features))
@@ -54,7 +54,7 @@ def scored_customers(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
 def build_customers(
     orders: DataFrame, cancellations: DataFrame, config: AnalyticsConfig
 ) -> DataFrame:
-    """The complete customer table."""
+    """The complete customer table, from stored orders."""
     return (
         scored_customers(orders, config)
         .transform(add_return_flag, cancellations)
@@ -84,9 +84,3 @@ def run_reports(tables: RetailTables, folder: str, config: AnalyticsConfig) -> d
         write_report(report, folder, name)
         rows[name] = seen.get["rows"]
     return rows
-
-
-def open_tables(spark: SparkSession, folder: str) -> RetailTables:
-    tables = read_tables(spark, folder)
-    tables.register_views()
-    return tables
