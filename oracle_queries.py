@@ -292,6 +292,10 @@ STEPS: dict[str, tuple[list[str], str]] = {
 
 # Query name -> (steps, final SELECT).
 FINALS: dict[str, tuple[list[str], str]] = {
+    "raw_csv_feed": (
+        ["raw"],
+        "SELECT * REPLACE (CAST(customer_id AS DOUBLE) AS customer_id) FROM raw",
+    ),
     "clean_transactions": (["sales"], "SELECT * EXCLUDE (amount) FROM sales"),
     "cancellations": (["takebacks"], "SELECT * EXCLUDE (amount) FROM takebacks"),
     "anonymous_lines": (
@@ -367,6 +371,7 @@ FINALS: dict[str, tuple[list[str], str]] = {
         FROM tier_report
         """,
     ),
+    "weekly_activity": (["trend_report"], "SELECT * FROM trend_report WHERE granularity = 'week'"),
     "activity_kpis": (
         ["trend_report"],
         """

@@ -23,7 +23,7 @@ def week_key(day: Column) -> Column:
 
 def day_key(day: Column) -> Column:
     """Midnight timestamp text, the form in which daily periods are published."""
-    return F.date_format(day, "yyyy-MM-dd HH:mm:ss")
+    return F.concat(day.cast("string"), F.lit(" 00:00:00"))
 
 
 def month_offset(day: Column, first_day: Column, days_per_month: float) -> Column:
