@@ -20,6 +20,7 @@ def spark(checkpoint_folder):
         **{
             "spark.master": "local[8]",
             "spark.checkpoint.dir": checkpoint_folder,
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.sql.shuffle.partitions": "8",
