@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
 
+# Half width of a bracket as a share of all rows: far wider than the sketch's own error.
+BRACKET_WIDTH = 20 / SKETCH_ACCURACY
+
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
@@ -19,12 +22,13 @@ def exact_quantiles(
     A mergeable sketch first brackets every wanted rank. The second job groups only the
     values inside the brackets (everything below collapses into one counted row) and
     reads the exact values at the wanted ranks off a running count. The brackets hold a
-    few rows in ten thousand, so each window partition stays small; should a sketch ever
-    miss its rank, the bracket is widened until it holds it, so results are always exact.
+    few rows in a thousand, so each window partition stays small; should one miss its
+    rank (tables of a few hundred rows), it is widened until it holds it, so results are
+    always exact.
 
     ``df`` is read twice: pass a stored table. Only a handful of numbers reach the driver.
     """
-    width = 2.0 / SKETCH_ACCURACY + 2.0 / max(df.count(), 1)
+    width = BRACKET_WIDTH
     pending = [(c, p) for c in columns for p in probabilities]
     found: dict[tuple[str, float], float] = {}
     while pending:
