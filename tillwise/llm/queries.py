@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import quality_classifier
+from tillwise.llm import quality_classifier, toxicity
 from tillwise.llm.tables import table
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, table(spark, folder, "labels")))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = quality_classifier.fit_quality(documents, table(spark, folder, "labels"))
@@ -15,6 +20,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
