@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import quality_classifier, toxicity
+from tillwise.llm import compression_bands, quality_classifier, toxicity
 from tillwise.llm.tables import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, table(spark, folder, "labels")))
 
 
+def op3_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return compression_bands.judge_texts(table(spark, folder, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = quality_classifier.fit_quality(documents, table(spark, folder, "labels"))
@@ -21,6 +25,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_compression_bands": op3_compression_bands,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
