@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import compression_bands, quality_classifier, toxicity
+from tillwise.llm import compression_bands, quality_classifier, token_codes, toxicity
 from tillwise.llm.tables import table
 
 
@@ -17,6 +17,10 @@ def op3_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression_bands.judge_texts(table(spark, folder, "documents"))
 
 
+def op8_token_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return token_codes.round_trip(table(spark, folder, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = quality_classifier.fit_quality(documents, table(spark, folder, "labels"))
@@ -26,6 +30,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_compression_bands": op3_compression_bands,
+    "op8_token_codes": op8_token_codes,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
