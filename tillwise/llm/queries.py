@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import compression_bands, quality_classifier, secret_scan, token_codes, toxicity
+from tillwise.llm import compression_bands, merge_dropout, quality_classifier, secret_scan, token_codes, toxicity
 from tillwise.llm.tables import table
 
 
@@ -17,6 +17,10 @@ def op3_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression_bands.judge_texts(table(spark, folder, "documents"))
 
 
+def op4_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_dropout.encode(table(spark, folder, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.find_secrets(table(spark, folder, "documents")))
 
@@ -34,6 +38,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_compression_bands": op3_compression_bands,
+    "op4_merge_dropout": op4_merge_dropout,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_codes": op8_token_codes,
     "op9_quality_classifier": op9_quality_classifier,
