@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import compression_bands, merge_dropout, quality_classifier, secret_scan, token_codes, toxicity
+from tillwise.llm import compression_bands, link_graph, merge_dropout, quality_classifier, secret_scan, token_codes, toxicity
 from tillwise.llm.tables import table
 
 
@@ -35,6 +35,10 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score_quality(documents, model)
 
 
+def op10_link_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return link_graph.judge_urls(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_compression_bands": op3_compression_bands,
@@ -42,6 +46,7 @@ QUERIES = {
     "op7_secret_scan": op7_secret_scan,
     "op8_token_codes": op8_token_codes,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_link_graph": op10_link_graph,
 }
 
 ORACLE_SQL: dict[str, str] = {}
