@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import compression_bands, link_graph, merge_dropout, quality_classifier, secret_scan, token_codes, toxicity
+from tillwise.llm import compression_bands, html_layout, link_graph, merge_dropout, quality_classifier, secret_scan, token_codes, toxicity
 from tillwise.llm.tables import table
 
 
@@ -21,6 +21,10 @@ def op4_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return merge_dropout.encode(table(spark, folder, "documents"))
 
 
+def op5_html_layout(spark: SparkSession, folder: str) -> DataFrame:
+    return html_layout.extract_text(table(spark, folder, "pages"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.find_secrets(table(spark, folder, "documents")))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_compression_bands": op3_compression_bands,
     "op4_merge_dropout": op4_merge_dropout,
+    "op5_html_layout": op5_html_layout,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_codes": op8_token_codes,
     "op9_quality_classifier": op9_quality_classifier,
