@@ -34,11 +34,11 @@ from tillwise.llm import words as W
 from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, tree_sum
 
 #: Labelled rows counted for each class, in hash order.
-FIT_ROWS = 4_000
+FIT_ROWS = 2_000
 #: Labelled rows of the calibration, in hash order, apart from the counted ones.
 CALIBRATION_ROWS = 4_000
 CALIBRATION_SHARE = 5
-SHARED_SLOTS = 1 << 21
+SHARED_SLOTS = 1 << 20
 BLOCKS = 32
 CHUNK = 1 << 18
 STEM = 5
@@ -165,22 +165,49 @@ def _discounted(counts: np.ndarray, discount: float) -> tuple[np.ndarray, float]
     return left.astype(np.float32), 1 - float(left.sum())
 
 
-def class_model(lexicon: Lexicon, before: np.ndarray, word: np.ndarray, stem: np.ndarray, counts: np.ndarray, discounts: tuple[float, float]) -> ClassModel:
-    """before, word, stem: places of each pair's parts in the lexicon."""
+def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray, stem: np.ndarray, counts: np.ndarray, kept: np.ndarray, discounts: tuple[float, float]) -> ClassModel:
+    """before, word, stem: places of all pairs' parts in the lexicon; kept: places of its pairs."""
     of_pair, of_word = discounts
     there = counts > 0
-    context = np.bincount(before, counts, len(lexicon.words))
-    taken = np.bincount(before, np.minimum(counts, of_pair), len(lexicon.words))
-    pair = np.append(np.maximum(counts - of_pair, 0) / np.maximum(context[before], 1), 0).astype(np.float32)
+    context = np.bincount(before, counts, n_words)
+    taken = np.bincount(before, np.minimum(counts, of_pair), n_words)
+    pair = np.append(np.maximum(counts[kept] - of_pair, 0) / np.maximum(context[before[kept]], 1), 0).astype(np.float32)
     backoff = np.append(np.where(context > 0, taken / np.maximum(context, 1), 1), 1).astype(np.float32)
     return ClassModel(
         pair,
         backoff,
-        *_discounted(np.bincount(word[there], minlength=len(lexicon.words)), of_word),
-        *_discounted(np.bincount(stem[there], minlength=len(lexicon.stems)), of_word),
+        *_discounted(np.bincount(word[there], minlength=n_words), of_word),
+        *_discounted(np.bincount(stem[there], minlength=n_stems), of_word),
     )
 
 
+def fit_classes(counted: pa.Table) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
+    """Both classes' models for each pair of DISCOUNTS, from the counts of pairs."""
+    keys = {c: counted[c].to_numpy().view(np.uint64) for c in ("before", "word", "stem")}
+    words, stems = np.unique(np.concatenate([keys["before"], keys["word"]])), np.unique(keys["stem"])
+    places = [np.searchsorted(listed, keys[c]).astype(np.int32) for c, listed in (("before", words), ("word", words), ("stem", stems))]
+    counts = [counted[c].to_numpy() for c in ("toxic", "ordinary")]
+    # A pair that no discount leaves anything of has no entry; it still counts for its context.
+    kept = np.flatnonzero(np.maximum(*counts) > min(of_pair for of_pair, _ in DISCOUNTS))
+    pairs = pair_hash(keys["before"][kept], keys["word"][kept])
+    kept, pairs = kept[np.argsort(pairs)], np.sort(pairs)
+    classes = [tuple(class_model(len(words), len(stems), *places, c, kept, discounts) for c in counts) for discounts in DISCOUNTS]
+    return without_idle(Lexicon(pairs, words, stems), classes)
+
+
+def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]]) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
+    """The same models without entries that say what the entry for the unseen says anyway."""
+    every = [m for both in classes for m in both]
+    pairs, words, stems = (np.zeros(len(x), bool) for x in (lexicon.pairs, lexicon.words, lexicon.stems))
+    for m in every:
+        pairs |= m.pair[:-1] > 0
+        words |= (m.word[:-1] > 0) | (m.backoff[:-1] != 1)
+        stems |= m.stem[:-1] > 0
+    keep = lambda values, mask: np.append(values[:-1][mask], values[-1])
+    small = lambda m: ClassModel(keep(m.pair, pairs), keep(m.backoff, words), keep(m.word, words), m.word_rest, keep(m.stem, stems), m.stem_rest)
+    return Lexicon(lexicon.pairs[pairs], lexicon.words[words], lexicon.stems[stems]), [tuple(map(small, both)) for both in classes]
+
+
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
@@ -266,15 +293,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     chosen = F.broadcast(_chosen(labels, label, rows, calibration_rows))
     sample = documents.select("doc_id", "text").join(chosen, "doc_id")
     shared = shared_counts(documents)
-    counted = pair_counts(sample.where(~F.col("calibrates")).select("text", "label"))
-    before, word, stem = (counted[c].to_numpy().view(np.uint64) for c in ("before", "word", "stem"))
-    pairs = pair_hash(before, word)
-    order = np.argsort(pairs)
-    before, word, stem = before[order], word[order], stem[order]
-    lexicon = Lexicon(pairs[order], np.unique(np.concatenate([before, word])), np.unique(stem))
-    places = np.searchsorted(lexicon.words, before), np.searchsorted(lexicon.words, word), np.searchsorted(lexicon.stems, stem)
-    counts = [counted[c].to_numpy()[order] for c in ("toxic", "ordinary")]
-    classes = [tuple(class_model(lexicon, *places, c, discounts) for c in counts) for discounts in DISCOUNTS]
+    lexicon, classes = fit_classes(pair_counts(sample.where(~F.col("calibrates")).select("text", "label")))
     model = ToxicityModel(lexicon, classes, shared, np.zeros(0))
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
@@ -290,7 +309,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     fits = [fit_logistic(inputs[:, k], y) for k in range(len(classes))]
     losses = [float(np.mean(np.logaddexp(0, inputs[:, k] @ w) - y * (inputs[:, k] @ w))) if len(y) else 0.0 for k, w in enumerate(fits)]
     best = int(np.argmin(losses))
-    return ToxicityModel(lexicon, [classes[best]], shared, fits[best])
+    return ToxicityModel(*without_idle(lexicon, [classes[best]]), shared, fits[best])
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
