@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import compression_bands, html_layout, link_graph, merge_dropout, quality_classifier, secret_scan, token_codes, toxicity
+from tillwise.llm import compression_bands, html_layout, link_graph, merge_dropout, quality_classifier, secret_scan, superminhash, token_codes, toxicity
 from tillwise.llm.tables import table
 
 
@@ -25,6 +25,10 @@ def op5_html_layout(spark: SparkSession, folder: str) -> DataFrame:
     return html_layout.extract_text(table(spark, folder, "pages"))
 
 
+def op6_superminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return superminhash.deduplicate(table(spark, folder, "documents"), size=3, percent=85)
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.find_secrets(table(spark, folder, "documents")))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op3_compression_bands": op3_compression_bands,
     "op4_merge_dropout": op4_merge_dropout,
     "op5_html_layout": op5_html_layout,
+    "op6_superminhash": op6_superminhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_token_codes": op8_token_codes,
     "op9_quality_classifier": op9_quality_classifier,
