@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import compression_bands, html_layout, link_graph, merge_dropout, quality_classifier, secret_scan, superminhash, token_codes, toxicity
+from tillwise.llm import compression_bands, decontamination, html_layout, link_graph, merge_dropout, quality_classifier, secret_scan, superminhash, token_codes, toxicity
 from tillwise.llm.tables import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, table(spark, folder, "labels")))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression_bands.judge_texts(table(spark, folder, "documents"))
 
@@ -49,6 +53,7 @@ def op10_link_graph(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
     "op3_compression_bands": op3_compression_bands,
     "op4_merge_dropout": op4_merge_dropout,
     "op5_html_layout": op5_html_layout,
