@@ -241,3 +241,16 @@ def score_quality(documents: DataFrame, model: QualityModel, threshold: float =
         .mapInArrow(scored, "doc_id long, score double")
         .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
     )
+
+
+def keep_quality(documents: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
+    """The documents, same columns, whose score reaches the threshold."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            good = shared.value.network.probabilities(features(texts, shared.value.vectors)) >= threshold
+            yield batch.filter(pa.array(good))
+
+    return documents.mapInArrow(kept, documents.schema)

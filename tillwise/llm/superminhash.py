@@ -18,8 +18,9 @@ and whose estimate is near the threshold, once per pair, and these are verified
 no pair that shares a band is skipped unless its classes are already in one component or its
 estimate is more than ``MARGIN`` below the threshold.
 
-Chances to lose a link: at similarity 0.85, 32 bands of 8 rows miss a pair with 4e-5 (0.9: 2e-8),
-the margin of 0.1 is over four standard deviations of the estimate.
+Chances to lose a link: at a threshold of 0.85, 32 bands of 8 rows miss a pair of just that
+similarity with 4e-5 (0.9: 2e-8); at 0.8, 42 bands of 6 rows with 3e-6. The margin of 0.1 is over
+four standard deviations of the estimate.
 
 Null and empty texts, or those without words, have no set and no links; fewer than ``size`` words
 are one shingle. Ids are taken as unique; rows of a repeated id are one node of the graph.
@@ -36,8 +37,8 @@ from tillwise.llm import words as W
 from tillwise.llm.tables import stored
 
 REGISTERS = 256
-BANDS = 32
-ROWS = REGISTERS // BANDS
+#: Greatest chance that banding misses a pair right at the threshold; it sets the rows of a band.
+MISS = 1e-4
 #: Estimates this far below the threshold rule a pair out.
 MARGIN = 0.1
 #: Classes of a bucket that one task compares with as many others.
@@ -47,6 +48,12 @@ CHUNK = 1 << 16
 SEED = 20_170_618
 
 
+def rows_of_band(percent: int) -> int:
+    """Most rows a band may have for MISS to hold at the threshold."""
+    missed = lambda rows: (1 - (percent / 100) ** rows) ** (REGISTERS // rows)
+    return max((rows for rows in range(1, 17) if missed(rows) <= MISS), default=1)
+
+
 def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one text after another, and where each begins."""
     words = W.hashed_words(texts, W.BLANK_WORDS, W.ASCII_LOWER)
@@ -113,8 +120,9 @@ def _sketch(elements: np.ndarray, lengths: np.ndarray, registers: int) -> np.nda
 SKETCH_SCHEMA = "doc_id long, n_shingles long, low long, high long, bands array<long>, marks binary"
 
 
-def sketches(documents: DataFrame, size: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def sketches(documents: DataFrame, size: int, rows_each: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row: set size, 128-bit name of the set, band keys, and a byte of each register."""
+    n_bands = REGISTERS // rows_each
 
     def sketched(batches):
         for batch in batches:
@@ -123,13 +131,13 @@ def sketches(documents: DataFrame, size: int, id_column: str = "doc_id", text: s
             # Names of sets: sums over their elements, so they do not depend on order.
             names = [W.segment_sums(W.seeded(elements, k).view(np.int64), first) for k in (1, 2)]
             bits = np.ascontiguousarray(sketch(elements, first)).view(np.uint64)
-            keys = np.zeros((len(n), BANDS), np.uint64)
-            for r in range(ROWS):
-                keys = W.mix(keys + bits[:, r::ROWS])
-            keys = W.mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64))
+            keys = np.zeros((len(n), n_bands), np.uint64)
+            for r in range(rows_each):
+                keys = W.mix(keys + bits[:, r : n_bands * rows_each : rows_each])
+            keys = W.mix(keys + np.arange(1, n_bands + 1, dtype=np.uint64))
             marks = (W.mix(bits) & np.uint64(255)).astype(np.uint8)
             has = n > 0
-            bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * BANDS)]), pa.int32()), pa.array(keys[has].reshape(-1).view(np.int64)))
+            bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * n_bands)]), pa.int32()), pa.array(keys[has].reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, names), bands, pa.array([m.tobytes() for m in marks], pa.binary())], [c.split()[0] for c in SKETCH_SCHEMA.split(", ")])
 
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -223,7 +231,7 @@ def open_pairs(members: DataFrame, percent: int) -> DataFrame:
     def compare(keys: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("doc_id")
         ids, component = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
-        bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         marks = np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
         block, bucket = rows["block"].to_numpy(), keys[0].as_py()
         low, high = keys[1].as_py(), keys[2].as_py()
@@ -253,7 +261,7 @@ def open_pairs(members: DataFrame, percent: int) -> DataFrame:
 def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``documents``."""
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    every = stored(sketches(rows, size))
+    every = stored(sketches(rows, size, rows_of_band(percent)))
     # Classes of equal sets, named by their smallest id; combined before the shuffle.
     classes = every.where("n_shingles > 0").groupBy("n_shingles", "low", "high").agg(F.min("doc_id").alias("class"))
     marked = every.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "bands", "marks").dropDuplicates(["doc_id"])
