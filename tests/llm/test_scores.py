@@ -1,0 +1,78 @@
+"""Toxicity and quality: held-out accuracy, bounds, odd rows."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import prose
+from tillwise.llm import quality_classifier as Q
+from tillwise.llm import toxicity as X
+
+INSULTS = ["blork", "snarv", "zilt"]
+
+
+def _labelled(spark, documents, label):
+    rng, texts, marks = random.Random(5), [], []
+    for k in range(400):
+        words = prose(k, rng.randint(20, 120)).split()
+        mark = int(rng.random() < 0.4)
+        if label == "toxic" and mark:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+        if label == "quality" and not mark:
+            words = [w + rng.choice(["###", "$$$", "***"]) for w in words]
+        texts.append(" ".join(words))
+        marks.append(mark)
+    labels = spark.createDataFrame([(k, m) for k, m in enumerate(marks)], f"doc_id long, {label} int")
+    return documents(texts), labels, np.array(marks)
+
+
+@pytest.mark.parametrize("label, fit, score, threshold", [("toxic", X.fit_toxicity, X.score_toxicity, 0.5), ("quality", Q.fit_quality, Q.score_quality, 0.3)])
+def test_held_out_accuracy(spark, documents, label, fit, score, threshold):
+    docs, labels, marks = _labelled(spark, documents, label)
+    found = score(docs, fit(docs, labels)).orderBy("doc_id").collect()
+    assert [r.doc_id for r in found] == list(range(len(marks)))
+    assert [r.held_out for r in found] == [zlib.crc32(str(k).encode()) % 5 == 0 for k in range(len(marks))]
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= threshold) for r in found)
+    held = [r for r in found if r.held_out]
+    assert np.mean([r.predicted == marks[r.doc_id] for r in held]) >= 0.9
+
+
+@pytest.mark.parametrize("label, fit, score", [("toxic", X.fit_toxicity, X.score_toxicity), ("quality", Q.fit_quality, Q.score_quality)])
+def test_odd_rows_and_labels(spark, documents, odd_documents, label, fit, score):
+    labels = spark.createDataFrame([(3, 1), (4, 0), (8, 1), (9, 0), (9, 0), (None, 1), (7, None), (2, 0)], f"doc_id long, {label} int")
+    found = score(odd_documents, fit(odd_documents, labels)).collect()
+    assert len(found) == odd_documents.count()
+    assert all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id in (0, 1)}) == 1  # null and empty alike
+    none = spark.createDataFrame([], labels.schema)
+    assert {r.score for r in score(odd_documents, fit(odd_documents, none)).collect()} == {0.5}
+    assert score(documents([]), fit(documents([]), none)).count() == 0
+
+
+def test_labels_of_held_out_rows_change_nothing(spark, documents):
+    docs, labels, marks = _labelled(spark, documents, "toxic")
+    flipped = labels.selectExpr("doc_id", "CASE WHEN crc32(cast(doc_id AS string)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
+    one, two = (X.score_toxicity(docs, X.fit_toxicity(docs, x)).orderBy("doc_id").collect() for x in (labels, flipped))
+    assert [r.score for r in one] == pytest.approx([r.score for r in two], abs=1e-6)
+
+
+def test_class_probabilities_sum_to_one(spark, documents):
+    """Over all words after one word, up to words that no text holds."""
+    docs, labels, _ = _labelled(spark, documents, "toxic")
+    model = X.fit_toxicity(docs, labels)
+    kept = len(model.lexicon.words)
+    toxic, _ = model.classes[0]
+    assert toxic.word.sum() + toxic.word_rest == pytest.approx(1, abs=1e-5)
+    assert toxic.stem.sum() + toxic.stem_rest == pytest.approx(1, abs=1e-5)
+    assert kept == len(toxic.word) - 1 and ((toxic.backoff >= 0) & (toxic.backoff <= 1)).all()
+
+
+def test_temperature_is_fitted_on_unseen_rows():
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 2, 4000)
+    logits = 6 * np.where(rng.random(4000) < 0.8, 2 * y - 1, 1 - 2 * y)
+    t = Q.fit_temperature(logits, y)
+    assert 1 / (1 + np.exp(-6 / t)) == pytest.approx(0.8, abs=0.03)

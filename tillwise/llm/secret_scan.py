@@ -81,7 +81,7 @@ def is_known_form(run: str) -> bool:
     if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
         return True
     parts = re.split(r"[_/=+-]+", run)
-    return len(parts) > 1 and all(_WORDY.fullmatch(p) and len(p) < RUN_LEAST for p in parts if p)
+    return len(parts) > 1 and all(_WORDY.fullmatch(p) for p in parts if p)
 
 
 def is_random(run: str, encoding) -> bool:
