@@ -24,17 +24,23 @@ STEPS: dict[str, tuple[list[str], str]] = {
     "raw": (
         ["marked"],
         """
-        SELECT CASE WHEN is_cancel THEN 'C' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS invoice,
+        SELECT CASE WHEN l_partkey % 53 <> 0 THEN
+                    CASE WHEN is_cancel THEN 'C'
+                         WHEN o_custkey % 5 = 0 AND l_partkey % 13 = 0 THEN 'c' ELSE '' END
+                    || CAST(o_orderkey AS VARCHAR) END AS invoice,
                CAST(l_partkey AS VARCHAR) AS stock_code,
-               'sample line' AS description,
+               CASE WHEN l_linenumber = 1 THEN 'sample "line", caf' || chr(233)
+                    ELSE 'sample line' END AS description,
                CAST(CASE WHEN is_cancel OR (l_linenumber = 7 AND l_quantity <= 2)
                          THEN -l_quantity ELSE l_quantity END AS BIGINT) AS quantity,
-               o_orderdate AS invoice_date,
+               CASE WHEN l_partkey % 7 = 0 THEN o_orderdate + INTERVAL 1 MINUTE
+                    ELSE o_orderdate END AS invoice_date,
                CASE WHEN l_discount = 0.1 AND l_tax = 0.08 THEN 0.0
                     ELSE l_extendedprice / l_quantity END AS price,
                CASE WHEN o_custkey % 5 = 0 THEN NULL
                     ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
-               n_name AS country
+               CASE WHEN l_partkey % 11 = 0 THEN 'ELSEWHERE'
+                    WHEN l_partkey % 97 = 0 THEN NULL ELSE n_name END AS country
         FROM marked
         """,
     ),
@@ -290,6 +296,86 @@ STEPS: dict[str, tuple[list[str], str]] = {
     ),
 }
 
+_RETENTION = ["total_customers", "retained_customers", "retention_pct"]
+
+# Report -> (step, columns that name a row, columns with figures).
+REPORT_SHAPES = {
+    "churn_by_rfm_tier": (
+        "tier_report",
+        ["rfm_tier", "risk_level"],
+        ["total_customers", "churned_customers", "churn_rate_pct", "avg_revenue_per_customer",
+         "avg_orders"],
+    ),
+    "cohort_retention": (
+        "cohort_report",
+        ["cohort_month", "months_since_first"],
+        ["cohort_size", "active_customers", "retention_pct"],
+    ),
+    "activity_trend": (
+        "trend_report",
+        ["granularity", "period"],
+        ["active_customers", "orders_placed", "revenue"],
+    ),
+    "time_to_second_purchase": ("second_report", ["sort_order", "repeat_bucket"], _RETENTION),
+    "order_frequency_aha": ("count_report", ["sort_order", "lifetime_orders"], _RETENTION),
+    "anonymous_share": (
+        "share_report",
+        ["customer_type"],
+        ["transaction_count", "total_revenue", "avg_line_value", "pct_of_transactions",
+         "pct_of_revenue"],
+    ),
+    "returns_analysis": (
+        "returns_report",
+        ["returner_group"],
+        [*_RETENTION, "avg_lifetime_revenue", "avg_orders"],
+    ),
+}
+
+_LINE_CHECKS = {
+    "row_count": "COUNT(*)",
+    "customers": "COUNT(DISTINCT customer_id)",
+    "invoices": "COUNT(DISTINCT invoice)",
+    "countries": "COUNT(DISTINCT country)",
+    "minutes": "COUNT(DISTINCT invoice_date)",
+    "descriptions": "COUNT(DISTINCT description)",
+    "quantity": "SUM(quantity)",
+    "revenue": "ROUND(SUM(CAST(revenue AS DECIMAL(28,6))), 2)",
+}
+
+# Stored table -> (step, check -> SQL that both engines read).
+TABLE_CHECKS = {
+    "transactions": ("sales", _LINE_CHECKS),
+    "anonymous_tx": ("(SELECT * FROM lines WHERE customer_id IS NULL)", _LINE_CHECKS),
+    "cancellations": ("takebacks", _LINE_CHECKS),
+    "orders": (
+        "order_rows",
+        {
+            "row_count": "COUNT(*)",
+            "customers": "COUNT(DISTINCT customer_id)",
+            "invoices": "COUNT(DISTINCT invoice)",
+            "days": "COUNT(DISTINCT order_date)",
+            "items": "SUM(total_items)",
+            "products": "SUM(unique_products)",
+            "revenue": "ROUND(SUM(CAST(total_revenue AS DECIMAL(28,6))), 2)",
+        },
+    ),
+    "customers": (
+        "(SELECT tiers.*, CAST(customer_id IN (SELECT customer_id FROM returners) AS INTEGER)"
+        " AS had_return FROM tiers)",
+        {
+            "row_count": "COUNT(*)",
+            "countries": "COUNT(DISTINCT country)",
+            "first_days": "COUNT(DISTINCT first_order_date)",
+            "tiers": "COUNT(DISTINCT rfm_tier)",
+            "scores": "SUM(100 * r_score + 10 * f_score + m_score)",
+            "gaps": "SUM(time_to_second_order_days)",
+            "churned": "SUM(churned)",
+            "returners": "SUM(had_return)",
+            "monetary": "ROUND(SUM(CAST(monetary AS DECIMAL(28,6))), 2)",
+        },
+    ),
+}
+
 # Query name -> (steps, final SELECT).
 FINALS: dict[str, tuple[list[str], str]] = {
     "raw_csv_feed": (
@@ -414,15 +500,21 @@ FINALS: dict[str, tuple[list[str], str]] = {
             "tier_report", "cohort_report", "trend_report", "second_report",
             "count_report", "share_report", "returns_report",
         ],
-        """
-        SELECT 'churn_by_rfm_tier' AS report, COUNT(*) AS report_rows FROM tier_report
-        UNION ALL SELECT 'cohort_retention', COUNT(*) FROM cohort_report
-        UNION ALL SELECT 'activity_trend', COUNT(*) FROM trend_report
-        UNION ALL SELECT 'time_to_second_purchase', COUNT(*) FROM second_report
-        UNION ALL SELECT 'order_frequency_aha', COUNT(*) FROM count_report
-        UNION ALL SELECT 'anonymous_share', COUNT(*) FROM share_report
-        UNION ALL SELECT 'returns_analysis', COUNT(*) FROM returns_report
-        """,
+        "\nUNION ALL ".join(
+            f"SELECT '{report}' AS report, concat_ws('|', {', '.join(keys)}) AS row_key,"
+            f" '{measure}' AS measure, CAST({measure} AS DOUBLE) AS value FROM {step}"
+            for report, (step, keys, measures) in REPORT_SHAPES.items()
+            for measure in measures
+        ),
+    ),
+    "stored_tables": (
+        ["lines", "sales", "takebacks", "order_rows", "tiers", "returners"],
+        "\nUNION ALL ".join(
+            f"SELECT '{table}' AS table_name, '{name}' AS measure,"
+            f" CAST({sql} AS DOUBLE) AS value FROM {step}"
+            for table, (step, checks) in TABLE_CHECKS.items()
+            for name, sql in checks.items()
+        ),
     ),
 }
 

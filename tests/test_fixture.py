@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tests.fixture_data import fixture_raw
 from tillwise import schemas
 from tillwise.config import AnalyticsConfig
-from tillwise.operators.customers import purchase_gaps
+from tillwise.operators.customers import purchase_gaps, return_flags
 from tillwise.operators.lines import (
     classify_lines,
     clean_transactions,
     extract_cancellations,
+    label_lines,
     split_anonymous,
 )
 from tillwise.operators.orders import build_orders
@@ -208,12 +209,17 @@ def test_share_report(raw, parts):
     ]
     sales, _, anonymous = parts
     with_revenue = anonymous.withColumn("revenue", F.col("quantity") * F.col("price"))
-    assert rows(reports.anonymous_share(sales, with_revenue)) == expected
-    assert rows(reports.anonymous_share_of_raw(raw)) == expected
+    assert rows(reports.anonymous_share(sales.unionByName(with_revenue))) == expected
+    assert rows(reports.anonymous_share(raw)) == expected
+
+
+def test_return_flags_of_lines(raw, customers):
+    found = return_flags(label_lines(raw))
+    assert sorted(rows(found)) == sorted(rows(customers, "customer_id", "had_return"))
 
 
 def test_share_report_of_nothing(raw):
-    assert rows(reports.anonymous_share_of_raw(raw.filter("quantity > 1000"))) == [
+    assert rows(reports.anonymous_share(raw.filter("quantity > 1000"))) == [
         ("Identified", 0, None, None, None, None),
         ("Anonymous", 0, None, None, None, None),
     ]
@@ -228,7 +234,7 @@ def test_returns_report(customers):
 
 def test_overview(customers, raw):
     overview = kpis.overview_kpis(
-        reports.churn_by_rfm_tier(customers), reports.anonymous_share_of_raw(raw)
+        reports.churn_by_rfm_tier(customers), reports.anonymous_share(raw)
     ).first()
     assert overview.total_customers == 4
     assert overview.overall_churn_pct == 75.0
@@ -243,7 +249,7 @@ def test_repeat_and_tiers(customers):
 
 
 def test_audit(raw, orders):
-    assert dict(rows(kpis.pipeline_audit(raw, orders, CONFIG))) == {
+    assert dict(rows(kpis.pipeline_audit(label_lines(raw), orders, CONFIG))) == {
         "raw_rows": 17.0,
         "identified_rows": 15.0,
         "anonymous_rows": 2.0,

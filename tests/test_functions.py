@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.test_fixture import rows
 from tillwise.functions.calendar import day_key, month_key, month_offset, week_key
 from tillwise.functions.numbers import plain_text, rate_pct, rounded, share_pct
+from tillwise.operators import quantiles
 from tillwise.operators.quantiles import exact_quantiles
 from tillwise.operators.rfm import bin_score, tier
 
@@ -56,9 +57,10 @@ def test_rate(spark):
 
 
 def test_plain_text_has_no_exponent(spark):
-    df = spark.createDataFrame([(17743429.18,), (100.0,), (0.5,), (77.3,), (None,)], "v double")
+    values = [(17743429.18,), (100.0,), (0.5,), (77.3,), (None,), (1.23456,)]
+    df = spark.createDataFrame(values, "v double")
     texts = [r[0] for r in df.select(plain_text(F.col("v"))).collect()]
-    assert texts == ["17743429.18", "100.0", "0.5", "77.3", None]
+    assert texts == ["17743429.18", "100.0", "0.5", "77.3", None, "1.23456"]
 
 
 def test_bins_equal_pandas_qcut(spark):
@@ -101,28 +103,37 @@ def test_quantiles_ignore_nulls_and_refuse_nothing(spark):
 
 def test_quantiles_survive_a_misleading_sketch(spark, monkeypatch):
     """Brackets that miss their rank are widened until the result is exact."""
-    from tillwise.operators import quantiles
-
     monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 3)
-    monkeypatch.setattr(
-        quantiles, "_brackets", _shifted_first_time(quantiles._brackets)
-    )
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 700)
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
     found = exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])
     assert found == {"v": [249.75, 499.5, 749.25]}
 
 
-def _shifted_first_time(original):
-    calls = []
-
-    def brackets(df, wanted, width):
-        counts, intervals = original(df, wanted, width)
-        calls.append(width)
-        if len(calls) == 1:
-            intervals = {key: (low + 900.0, high + 900.0) for key, (low, high) in intervals.items()}
-        return counts, intervals
+@pytest.mark.parametrize("size", [20_000, 200_000])
+def test_no_task_sorts_more_than_the_bound(spark, monkeypatch, size):
+    """The largest window partition stays under the bound, ten times the rows or not."""
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 500)
+    seen = []
+    original = quantiles._select
 
-    return brackets
+    def watched(df, brackets):
+        seen.extend(
+            df.select(b.row().alias("v")).filter("v IS NOT NULL").distinct().count()
+            for b in brackets.values()
+        )
+        return original(df, brackets)
+
+    monkeypatch.setattr(quantiles, "_select", watched)
+    df = spark.range(size).select((F.rand(3) * 1e6).alias("v"), (F.col("id") % 7).alias("few"))
+    df = df.cache()
+    values = df.toPandas()
+    found = exact_quantiles(df, ["v", "few"], [0.25, 0.5, 0.75])
+    for column in ("v", "few"):
+        wanted = np.quantile(values[column], [0.25, 0.5, 0.75]).tolist()
+        assert found[column] == pytest.approx(wanted, rel=1e-12)
+    assert max(seen) <= 550
+    df.unpersist()
 
 
 def test_tier_table(spark):

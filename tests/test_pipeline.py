@@ -13,12 +13,13 @@ from tests.test_fixture import rows
 from tillwise import __main__ as command_line
 from tillwise import schemas
 from tillwise.config import AnalyticsConfig
+from tillwise.plans import pipeline
 from tillwise.plans.pipeline import build_tables, run_reports
 from tillwise.plans.reports import CATALOG
 from tillwise.sources.raw_csv import read_raw_csv
 from tillwise.sources.reports import read_report
-from tillwise.sources.staging import stage, staging_folder
-from tillwise.sources.tables import read_table, read_tables
+from tillwise.sources.staging import release, stage, staging_folder
+from tillwise.sources.tables import drop_old_versions, read_audit, read_table, read_tables
 
 HEADER = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
           "Customer ID", "Country"]
@@ -67,11 +68,58 @@ def test_csv_details(spark, tmp_path):
     assert (second.price, second.customer_id) == (100.0, None)
 
 
-def test_csv_rejects_unreadable_cells(spark, tmp_path):
-    path = tmp_path / "bad.csv"
-    path.write_text("a,b,c,d,e,f,g,h\n1,2,x,three,2010-01-01 00:05:00,2.5,1,UK\n")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        read_raw_csv(spark, str(path)).collect()
+def feed_of(tmp_path, *lines: str) -> str:
+    path = tmp_path / "feed.csv"
+    path.write_text("\n".join(["a,b,c,d,e,f,g,h", *lines]) + "\n")
+    return str(path)
+
+
+GOOD = "1,2,x,3,2010-01-01 00:05:00,2.5,1,UK"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("line", "message"),
+    [
+        ("1,2,x,three,2010-01-01 00:05:00,2.5,1,UK", "quantity does not parse: three"),
+        ("1,2,x,3.5,2010-01-01 00:05:00,2.5,1,UK", "quantity does not parse: 3.5"),
+        ("1,2,x,3,someday,2.5,1,UK", "invoice_date does not parse: someday"),
+        ("1,2,x,3,2010-01-01 00:05:00,2.5,one,UK", "customer_id does not parse: one"),
+        (GOOD + ",more", "line with more than 8 cells: .*more"),
+        (GOOD + ",", "line with more than 8 cells"),
+        (GOOD + ",a,b", "line with more than 8 cells"),
+    ],
+)
+def test_csv_rejects_what_it_cannot_hold(spark, tmp_path, line, message, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=message):
+            read_raw_csv(spark, feed_of(tmp_path, GOOD, line)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_csv_counts_cells_whatever_is_read(spark, tmp_path):
+    raw = read_raw_csv(spark, feed_of(tmp_path, GOOD, GOOD + ",more"))
+    with pytest.raises(Exception, match="more than 8 cells"):
+        raw.select("invoice").collect()
+
+
+def test_csv_short_lines_and_decimals(spark, tmp_path):
+    line = '1,2,"a, ""b""",4.0,2010-01-01 00:05:00,2.5,1,UK'
+    whole, short = read_raw_csv(spark, feed_of(tmp_path, line, "1,2,x,3")).collect()
+    assert (whole.quantity, whole.description) == (4, 'a, "b"')
+    assert tuple(short) == ("1", "2", "x", 3, None, None, None, None)
+
+
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
+    broken = '1,2,"two\nlines",3,2010-01-01 00:05:00,2.5,1,UK'
+    feed = feed_of(tmp_path, GOOD, broken)
+    with pytest.raises(Exception, match="multi_line"):
+        read_raw_csv(spark, feed).collect()
+    assert [r.description for r in read_raw_csv(spark, feed, multi_line=True).collect()] == [
+        "x", "two\nlines",
+    ]
 
 
 def test_csv_timestamp_format(spark, tmp_path):
@@ -107,6 +155,57 @@ def test_build_replaces_what_is_there(spark, feed, folder):
     assert read_table(spark, folder, "transactions").count() == 10
 
 
+def test_replace_leaves_no_old_lines(spark, feed, tmp_path):
+    out = str(tmp_path)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        raw = read_raw_csv(spark, feed)
+        assert build_tables(raw, out, CONFIG).cancellations.count() == 2
+        tables = build_tables(raw.filter("invoice not like 'C%'"), out, CONFIG)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert tables.cancellations.count() == 0
+    assert tables.customers.filter("had_return = 1").count() == 0
+    drop_old_versions(spark, out)
+    assert len(list(tmp_path.glob("tables-*"))) == 1 and read_tables(spark, out).orders.count() == 8
+
+
+def test_a_failed_build_leaves_the_old_tables(spark, feed, tmp_path):
+    out = str(tmp_path)
+    raw = read_raw_csv(spark, feed)
+    build_tables(raw, out, CONFIG)
+    broken = raw.withColumn("price", F.when(F.col("invoice") == "500003", F.raise_error(F.lit("no"))).otherwise(F.col("price")))
+    with pytest.raises(Exception, match="no"):
+        build_tables(broken, out, CONFIG)
+    assert read_tables(spark, out).orders.count() == 8
+
+
+def test_missing_staging_folder_is_noticed_first(spark, feed, tmp_path, monkeypatch):
+    def refuse(_):
+        raise ValueError("set spark.checkpoint.dir")
+
+    monkeypatch.setattr(pipeline, "staging_folder", refuse)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        build_tables(read_raw_csv(spark, feed), str(tmp_path / "t"), CONFIG)
+    assert not (tmp_path / "t").exists()
+
+
+def test_build_cleans_its_staging_and_keeps_an_audit(spark, feed, tmp_path):
+    staging = tmp_path / "staging"
+    build_tables(read_raw_csv(spark, feed), str(tmp_path / "t"), CONFIG, str(staging))
+    assert staging.exists() and not list(staging.iterdir())
+    assert dict(rows(read_audit(spark, str(tmp_path / "t")))) == {
+        "raw_rows": 17.0,
+        "identified_rows": 15.0,
+        "anonymous_rows": 2.0,
+        "transaction_rows": 10.0,
+        "cancellation_rows": 2.0,
+        "order_rows": 8.0,
+        "customers": 4.0,
+        "churn_pct": 75.0,
+    }
+
+
 def test_views_answer_sql(spark, folder):
     read_tables(spark, folder).register_views()
     found = spark.sql(
@@ -141,8 +240,11 @@ def test_runs_can_be_repeated(spark, folder, tmp_path):
 def test_command_line(spark, feed, tmp_path, capsys):
     tables, out = str(tmp_path / "tables"), str(tmp_path / "reports")
     command_line.main(["build", "--raw", feed, "--tables", tables])
+    assert "transaction_rows: 10" in capsys.readouterr().out
     command_line.main(["report", "--tables", tables, "--out", out])
     assert "cohort_retention: 5 rows" in capsys.readouterr().out
+    command_line.main(["kpis", "--tables", tables, "--min-cohort", "1"])
+    assert "peak_weekly_customers" in capsys.readouterr().out
 
 
 def test_staging_uses_the_named_folder(spark, checkpoint_folder):
@@ -152,6 +254,8 @@ def test_staging_uses_the_named_folder(spark, checkpoint_folder):
     assert staged.agg(F.sum("twice")).first()[0] == 20
     (written,) = set(Path(checkpoint_folder).iterdir()) - before
     assert written.name.startswith("numbers-")
+    release(spark)
+    assert set(Path(checkpoint_folder).iterdir()) <= before
 
 
 class SessionWith:
@@ -165,8 +269,8 @@ class SessionWith:
         return self.settings.get(key, default)
 
 
-def test_staging_falls_back_to_a_temporary_folder_in_local_mode_only():
-    assert Path(staging_folder(SessionWith(spark_master="local[2]"))).is_dir()
+def test_staging_falls_back_to_a_local_folder_in_local_mode_only():
+    assert staging_folder(SessionWith(spark_master="local[2]")) == "/tmp/checkpoints"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging_folder(SessionWith(spark_master="yarn"))
     named = SessionWith(spark_master="yarn", spark_checkpoint_dir="hdfs://nn/stage/")

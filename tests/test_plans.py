@@ -14,7 +14,9 @@ from tillwise.config import AnalyticsConfig
 from tillwise.operators.customers import customer_features, most_frequent, purchase_gaps
 from tillwise.operators.lines import clean_transactions, extract_cancellations, split_anonymous
 from tillwise.operators.orders import build_orders
-from tillwise.plans import reports
+from tillwise.plans import pipeline, reports
+from tillwise.sources import staging
+from tillwise.sources.staging import release
 
 CONFIG = AnalyticsConfig()
 SMALL = "/root/testdata/sf0.001"
@@ -91,11 +93,13 @@ def test_features_have_no_further_shuffle_for_their_joins(stored):
     assert len(keys) == 5
 
 
-def test_activity_reads_orders_once_and_spreads_days(stored):
+def test_activity_makes_two_rows_of_an_order_and_spreads_days(stored):
     plan = physical(reports.activity_trend(stored[1]))
-    assert plan.count("FileScan parquet") == 1
+    assert "Expand" not in plan and plan.count("Generate inline(array(") >= 1
     first_shuffle = plan.split("Exchange hashpartitioning(")[-1].split(")")[0]
-    assert "customer_id" in first_shuffle and "invoice" in first_shuffle
+    assert "order_date" in first_shuffle and "id#" in first_shuffle
+    week = physical(reports.activity_trend(stored[1], (reports.WEEK,)))
+    assert week.count("FileScan parquet") == 1
 
 
 def test_cohorts_join_customer_days(stored):
@@ -106,15 +110,52 @@ def test_cohorts_join_customer_days(stored):
 
 
 def test_share_is_one_global_aggregate(stored):
-    plan = physical(reports.anonymous_share_of_raw(stored[0]))
+    plan = physical(reports.anonymous_share(stored[0]))
     assert plan.count("FileScan parquet") == 1
     assert "hashpartitioning" not in plan
     assert "stock_code" not in plan
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
+    assert "GreaterThan(quantity,0)" in pushed and "GreaterThan(price,0.0)" in pushed
+
+
+@pytest.mark.parametrize(
+    "name", ["return_flags", "customers", "returns_analysis", "pipeline_audit", "overview_kpis"]
+)
+def test_the_feed_is_read_and_joined_once(spark, name, monkeypatch):
+    """One scan of the lines and one merge join with them, staged steps counted."""
+    plans = []
+    original = staging.stage
+
+    def recorded(df, label, folder=None):
+        plans.append(physical(df))
+        return original(df, label, folder)
+
+    for module in (entry_points, pipeline):
+        monkeypatch.setattr(module, "stage", recorded)
+    plans.append(physical(entry_points.queries()[name](spark, SMALL)))
+    release(spark)
+    assert sum(plan.count("lineitem.parquet") for plan in plans) == 1
+    assert sum("l_orderkey" in plan and plan.count("SortMergeJoin [l_orderkey") for plan in plans) == 1
+
+
+def test_tiers_need_no_history(spark, monkeypatch):
+    plans = []
+    original = staging.stage
+
+    def recorded(df, label, folder=None):
+        plans.append(physical(df))
+        return original(df, label, folder)
+
+    monkeypatch.setattr(pipeline, "stage", recorded)
+    entry_points.churn_by_rfm_tier(spark, SMALL)
+    release(spark)
+    assert len(plans) == 1 and "Window" not in plans[0] and "cohort_month" not in plans[0]
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(entry_points.retail_queries()))
 def test_registered_plans(spark, name):
     plan = physical(entry_points.queries()[name](spark, SMALL).withColumn("one", F.lit(1)))
+    release(spark)
     for unwanted in (
         "CartesianProduct",
         "BroadcastNestedLoopJoin",

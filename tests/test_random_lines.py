@@ -196,7 +196,7 @@ def test_cohorts(case):
 
 def test_share(case):
     part, _, _, (sales, anonymous, _, _) = case
-    report = rows(reports.anonymous_share(part("transactions"), part("anonymous_tx")))
+    report = rows(reports.anonymous_share(part("transactions").unionByName(part("anonymous_tx"))))
     totals = [
         half_up(sum(Decimal(repr(line[3] * line[5])) for line in group), 2)
         for group in (sales, anonymous)

@@ -1,6 +1,7 @@
 """Tests on raw line items.
 
-All of them are plain comparisons, so they reach a Parquet scan as pushed filters.
+Each is made of plain comparisons. Where a plan filters by one of them, its conjuncts reach a
+Parquet scan; a choice between several does not, so filter by what they share first.
 """
 
 from __future__ import annotations
@@ -27,13 +28,17 @@ def is_clean_sale() -> Column:
     return regular & (F.col("quantity") > 0) & (F.col("price") > 0)
 
 
-def is_countable_anonymous_sale() -> Column:
-    """Anonymous counterpart used by the share report: the prefix is tested in either
-    case and a missing invoice number fails the test."""
-    either_case = F.col("invoice").startswith(CANCEL_PREFIX) | F.col("invoice").startswith(
-        CANCEL_PREFIX.lower()
-    )
-    return ~either_case & (F.col("quantity") > 0) & (F.col("price") > 0)
+def is_priced_sale() -> Column:
+    """What every counted sale has, identified or not."""
+    return (F.col("quantity") > 0) & (F.col("price") > 0)
+
+
+def is_countable_invoice() -> Column:
+    """Invoice test of the share report. For anonymous lines the prefix is tested in either
+    case and a missing invoice number fails; identified ones are tested like clean sales."""
+    invoice = F.col("invoice")
+    upper, lower = invoice.startswith(CANCEL_PREFIX), invoice.startswith(CANCEL_PREFIX.lower())
+    return F.when(is_anonymous(), ~(upper | lower)).otherwise(invoice.isNull() | ~upper)
 
 
 def line_revenue() -> Column:

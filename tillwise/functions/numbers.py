@@ -41,7 +41,7 @@ def rate_pct(flag: Column) -> Column:
     return rounded(F.avg(flag) * 100, 1)
 
 
-def plain_text(value: Column, digits: int = 2) -> Column:
+def plain_text(value: Column, digits: int = 10) -> Column:
     """Shortest plain decimal text with at least one fraction digit (no exponent)."""
     text = value.cast(f"decimal(38,{digits})").cast("string")
     return F.regexp_replace(text, r"(\.\d+?)0+$", "$1")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tillwise.config import AnalyticsConfig
 from tillwise.functions.calendar import month_key
 from tillwise.functions.numbers import rounded, total_money
+from tillwise.operators.lines import LINE_CLASS
+from tillwise.operators.orders import ORDER_KEYS
 
 FEATURE_COLUMNS = [
     "customer_id",
@@ -95,31 +97,41 @@ def customer_totals(orders: DataFrame) -> DataFrame:
     )
 
 
-def customer_features(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    """Purchase history, value and churn, one row per customer.
+def customer_value(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+    """Totals, recency and churn, one row per customer: what scores and tiers need.
 
-    Three narrow aggregates over the orders, each with its own skew-safe shuffle, joined
-    on the customer they all end up partitioned by. ``orders`` is read once per
-    aggregate: pass a stored table.
+    One aggregate, which reads ``orders`` once.
     """
     recency = F.date_diff(F.lit(config.as_of), "last_order_date")
-    return (
-        customer_totals(orders)
-        .join(most_frequent(orders, "customer_id", "country", "country"), "customer_id", "left")
-        .join(purchase_gaps(orders, config), "customer_id", "left")
-        .withColumns(
-            {
-                "total_revenue": F.col("revenue").cast("double"),
-                "monetary": rounded(F.col("revenue"), 2),
-                "frequency": F.col("total_orders"),
-                "recency_days": recency,
-                "churned": _flag(recency > config.churn_days),
-            }
-        )
-        .select(*FEATURE_COLUMNS)
+    return customer_totals(orders).select(
+        "customer_id",
+        "last_order_date",
+        "total_orders",
+        F.col("revenue").cast("double").alias("total_revenue"),
+        "total_items",
+        recency.alias("recency_days"),
+        F.col("total_orders").alias("frequency"),
+        rounded(F.col("revenue"), 2).alias("monetary"),
+        _flag(recency > config.churn_days).alias("churned"),
     )
 
 
+def add_history(value: DataFrame, orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+    """Country and purchase gaps added to rows that are unique on the customer.
+
+    Two more narrow aggregates over the orders, each with its own skew-safe shuffle, joined
+    on the customer they all end up partitioned by: pass stored orders.
+    """
+    country = most_frequent(orders, "customer_id", "country", "country")
+    gaps = purchase_gaps(orders, config)
+    return value.join(country, "customer_id", "left").join(gaps, "customer_id", "left")
+
+
+def customer_features(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+    """Purchase history, value and churn, one row per customer (reads ``orders`` thrice)."""
+    return add_history(customer_value(orders, config), orders, config).select(*FEATURE_COLUMNS)
+
+
 def add_return_flag(customers: DataFrame, cancellations: DataFrame) -> DataFrame:
     """1 for customers found among the cancellations, else 0.
 
@@ -137,3 +149,22 @@ def add_return_flag(customers: DataFrame, cancellations: DataFrame) -> DataFrame
         .withColumn("had_return", F.coalesce("returned", F.lit(0)))
         .drop("returned")
     )
+
+
+def return_flags(lines: DataFrame) -> DataFrame:
+    """The same flag for customers with an order, straight from labelled lines.
+
+    One aggregate over all lines with partial results per task: no order roll-up, no join.
+    """
+    in_order = F.lit(True)
+    for key in ORDER_KEYS:
+        in_order = in_order & F.col(key).isNotNull()
+    bought = (F.col(LINE_CLASS) == "transactions") & in_order
+    returned = F.col(LINE_CLASS) == "cancellations"
+    return (
+        lines.filter(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(F.bool_or(bought).alias("bought"), F.bool_or(returned).alias("returned"))
+        .filter("bought")
+        .select("customer_id", _flag(F.col("returned")).alias("had_return"))
+    )

@@ -35,11 +35,11 @@ def clean_transactions(identified: DataFrame) -> DataFrame:
     return identified.filter(L.is_clean_sale()).transform(add_revenue)
 
 
-def classify_lines(raw: DataFrame) -> DataFrame:
-    """All three line tables in one pass, told apart by ``line_class``.
+def label_lines(raw: DataFrame) -> DataFrame:
+    """All lines with revenue, text ids and the table they belong to (``line_class``).
 
-    Lines that belong to no table (a prefixed invoice without a negative quantity, or a
-    regular one without a positive quantity and price) are left out.
+    The class is NULL for lines that belong to no table: a prefixed invoice without a
+    negative quantity, or a regular one without a positive quantity and price.
     """
     target = (
         F.when(L.is_anonymous(), "anonymous_tx")
@@ -50,5 +50,9 @@ def classify_lines(raw: DataFrame) -> DataFrame:
         raw.withColumn("customer_id", L.normal_customer_id())
         .transform(add_revenue)
         .withColumn(LINE_CLASS, target)
-        .filter(F.col(LINE_CLASS).isNotNull())
     )
+
+
+def classify_lines(raw: DataFrame) -> DataFrame:
+    """All three line tables in one pass, told apart by ``line_class``."""
+    return label_lines(raw).filter(F.col(LINE_CLASS).isNotNull())

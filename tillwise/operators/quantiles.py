@@ -4,113 +4,143 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
 
-# Half width of a bracket as a share of all rows: far wider than the sketch's own error.
+#: Half width of a bracket as a share of the rows it is cut from: far wider than the
+#: sketch's own error.
 BRACKET_WIDTH = 20 / SKETCH_ACCURACY
 
+#: Distinct values of a bracket that one task sorts. Brackets are cut again until they
+#: have no more, whatever the size of the table.
+MOST_VALUES = 20_000
+
+
+@dataclass
+class _Bracket:
+    """A closed interval of values meant to hold the ranks around ``position``."""
+
+    column: str
+    position: float
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    inside: int = 0
+    values: int = 0
+    width: float = BRACKET_WIDTH
+
+    def row(self) -> Column:
+        value = F.col(self.column).cast("double")
+        return F.when((value >= F.lit(self.low)) & (value <= F.lit(self.high)), value)
+
+    def holds(self) -> bool:
+        """Whether both ranks around the position lie inside."""
+        first, last = math.floor(self.position), math.ceil(self.position)
+        return self.below <= first and last < self.below + self.inside
+
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
     """Linearly interpolated quantiles, ``{column: [value per probability]}``.
 
-    A mergeable sketch first brackets every wanted rank. The second job groups only the
-    values inside the brackets (everything below collapses into one counted row) and
-    reads the exact values at the wanted ranks off a running count. The brackets hold a
-    few rows in a thousand, so each window partition stays small; should one miss its
-    rank (tables of a few hundred rows), it is widened until it holds it, so results are
-    always exact.
+    A mergeable sketch brackets every wanted rank, and a count says what lies below and
+    inside. A bracket that misses its rank is widened; one with more than ``MOST_VALUES``
+    distinct values is cut again by a sketch of what is inside. Each round narrows a bracket
+    to about ``2 * BRACKET_WIDTH`` of its rows, so the number of rounds grows with the
+    logarithm of the table. Then the values inside, with their counts, are put in order, one
+    window partition of bounded size for each quantile.
 
-    ``df`` is read twice: pass a stored table. Only a handful of numbers reach the driver.
+    ``df`` is read twice a round: pass a stored table. Only a few numbers reach the driver.
     """
-    width = BRACKET_WIDTH
-    pending = [(c, p) for c in columns for p in probabilities]
-    found: dict[tuple[str, float], float] = {}
-    while pending:
-        counts, brackets = _brackets(df, pending, width)
-        found.update(_select(df, pending, counts, brackets))
-        pending = [key for key in pending if key not in found]
-        width *= 10
+    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    empty = [c for c in columns if counts[c] == 0]
+    if empty:
+        raise ValueError(f"no values in {empty}")
+    brackets = {
+        (c, p): _Bracket(c, (counts[c] - 1) * p, inside=counts[c], values=counts[c])
+        for c in columns
+        for p in probabilities
+    }
+    wide = list(brackets)
+    while wide := [key for key in wide if brackets[key].values > MOST_VALUES]:
+        for key, cut in zip(wide, _cut(df, [brackets[key] for key in wide])):
+            brackets[key] = cut
+    found = _select(df, brackets)
     return {c: [found[c, p] for p in probabilities] for c in columns}
 
 
-def _brackets(df, wanted, width):
-    """Row count per column and an interval around each wanted quantile."""
-    ends: dict[str, list[float]] = {}
-    for c, p in wanted:
-        ends.setdefault(c, []).extend([max(p - width, 0.0), min(p + width, 1.0)])
-    measures: list[Column] = []
-    for c, probabilities in ends.items():
-        value = F.col(c).cast("double")
+def _cut(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
+    """Narrower brackets; one that turns out to miss its rank stays and is cut wider next."""
+    measures = []
+    for i, b in enumerate(brackets):
+        share = (b.position - b.below) / max(b.inside - 1, 1)
+        ends = [max(share - b.width, 0.0), min(share + b.width, 1.0)]
+        measures.append(F.percentile_approx(b.row(), ends, SKETCH_ACCURACY).alias(f"ends_{i}"))
+    ends = df.agg(*measures).first()
+    cuts = [
+        _Bracket(b.column, b.position, *map(float, ends[f"ends_{i}"]))
+        for i, b in enumerate(brackets)
+    ]
+    measures = []
+    for i, cut in enumerate(cuts):
+        value = F.col(cut.column).cast("double")
         measures += [
-            F.count(c).alias(f"count_{c}"),
-            F.percentile_approx(value, probabilities, SKETCH_ACCURACY).alias(f"ends_{c}"),
+            F.count_if(value < F.lit(cut.low)).alias(f"below_{i}"),
+            F.count(cut.row()).alias(f"inside_{i}"),
+            F.approx_count_distinct(cut.row()).alias(f"values_{i}"),
         ]
     row = df.agg(*measures).first()
-    counts = {c: row[f"count_{c}"] for c in ends}
-    empty = [c for c, n in counts.items() if n == 0]
-    if empty:
-        raise ValueError(f"no values in {empty}")
-
-    remaining = {c: iter(row[f"ends_{c}"]) for c in ends}
-    brackets = {}
-    for c, p in wanted:
-        low, high = next(remaining[c]), next(remaining[c])
-        brackets[c, p] = (low, high) if width < 1.0 else (-math.inf, math.inf)
-    return counts, brackets
-
-
-def _select(df, wanted, counts, brackets):
-    """Quantiles whose bracket really holds their rank."""
-    entries = []
-    for i, (c, p) in enumerate(wanted):
-        low, high = brackets[c, p]
-        value = F.col(c).cast("double")
-        entries.append(
-            F.when(
-                value <= high,
-                F.struct(
-                    F.lit(i).alias("bracket"),
-                    F.when(value >= low, value).alias("value"),
-                ),
-            )
-        )
-    running = Window.partitionBy("bracket").orderBy(F.asc_nulls_first("value"))
-    position = {i: (counts[c] - 1) * p for i, (c, p) in enumerate(wanted)}
+    out = []
+    for i, (b, cut) in enumerate(zip(brackets, cuts)):
+        cut.below, cut.inside = row[f"below_{i}"], row[f"inside_{i}"]
+        cut.values = 1 if cut.low == cut.high else row[f"values_{i}"]
+        if not cut.holds():
+            b.width *= 10
+            out.append(b)
+        elif cut.inside == b.inside:  # few values, each with many rows: nothing left to cut
+            cut.values = min(cut.values, MOST_VALUES)
+            out.append(cut)
+        else:
+            out.append(cut)
+    return out
+
+
+def _select(df: DataFrame, brackets: dict) -> dict:
+    """The values at the wanted ranks, from the counted values of each bracket."""
+    keys = list(brackets)
+    entries = [
+        F.struct(F.lit(i).alias("bracket"), brackets[key].row().alias("value"))
+        for i, key in enumerate(keys)
+    ]
+    running = Window.partitionBy("bracket").orderBy("value")
+    ranks = {i: b.position - b.below for i, b in enumerate(brackets.values())}
 
     def value_at(rank_of) -> Column:
         """Smallest value whose running count passes the wanted rank of its bracket."""
         cases = [
-            F.when((F.col("bracket") == i) & (F.col("upto") > rank_of(pos)), F.col("value"))
-            for i, pos in position.items()
+            F.when((F.col("bracket") == i) & (F.col("upto") > rank_of(rank)), F.col("value"))
+            for i, rank in ranks.items()
         ]
         return F.min(F.coalesce(*cases))
 
     rows = (
         df.select(F.explode(F.array(*entries)).alias("entry"))
-        .filter(F.col("entry").isNotNull())
         .select("entry.bracket", "entry.value")
+        .filter(F.col("value").isNotNull())
         .groupBy("bracket", "value")
         .count()
         .withColumn("upto", F.sum("count").over(running))
         .groupBy("bracket")
-        .agg(
-            F.sum(F.when(F.col("value").isNull(), F.col("count"))).alias("below"),
-            value_at(math.floor).alias("lower"),
-            value_at(math.ceil).alias("upper"),
-        )
+        .agg(value_at(math.floor).alias("lower"), value_at(math.ceil).alias("upper"))
         .collect()
     )
     found = {}
     for row in rows:
-        pos = position[row["bracket"]]
-        inside = (row["below"] or 0) <= math.floor(pos)
-        if inside and row["lower"] is not None and row["upper"] is not None:
-            low, high = row["lower"], row["upper"]
-            found[wanted[row["bracket"]]] = low + (high - low) * (pos - math.floor(pos))
+        part = brackets[keys[row["bracket"]]].position % 1
+        found[keys[row["bracket"]]] = row["lower"] + (row["upper"] - row["lower"]) * part
     return found

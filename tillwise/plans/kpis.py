@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwise.config import AnalyticsConfig
 from tillwise.functions import lines as L
 from tillwise.functions.numbers import rate_pct
+from tillwise.operators.lines import LINE_CLASS
 from tillwise.plans.reports import DAY, IDENTIFIED, WEEK
 
 # Fixed value: smallest cohort shown when the reader does not choose.
@@ -112,18 +113,21 @@ def _as_rows(totals: DataFrame) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
-def line_audit(raw: DataFrame) -> DataFrame:
-    """Row counts of the raw feed and of each line table, from one pass."""
-    identified = ~L.is_anonymous()
-    return _as_rows(
-        raw.agg(
-            F.count(F.lit(1)).alias("raw_rows"),
-            F.count_if(identified).alias("identified_rows"),
-            F.count_if(L.is_anonymous()).alias("anonymous_rows"),
-            F.count_if(identified & L.is_clean_sale()).alias("transaction_rows"),
-            F.count_if(identified & L.is_cancellation()).alias("cancellation_rows"),
-        )
-    )
+def line_counts() -> list[Column]:
+    """Row counts of the raw feed and of each line table, over labelled lines."""
+    of = lambda name: F.count_if(F.col(LINE_CLASS) == name)
+    return [
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(~L.is_anonymous()).alias("identified_rows"),
+        F.count_if(L.is_anonymous()).alias("anonymous_rows"),
+        of("transactions").alias("transaction_rows"),
+        of("cancellations").alias("cancellation_rows"),
+    ]
+
+
+def line_audit(lines: DataFrame) -> DataFrame:
+    """The line counts as rows, from one pass over labelled lines."""
+    return _as_rows(lines.agg(*line_counts()))
 
 
 def customer_audit(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
@@ -142,5 +146,6 @@ def customer_audit(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
     )
 
 
-def pipeline_audit(raw: DataFrame, orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    return line_audit(raw).unionByName(customer_audit(orders, config))
+def pipeline_audit(lines: DataFrame, orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+    """Counts of labelled lines, orders and customers, and overall churn."""
+    return line_audit(lines).unionByName(customer_audit(orders, config))

@@ -9,26 +9,35 @@ from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.config import AnalyticsConfig
-from tillwise.operators.customers import add_return_flag, customer_features
+from tillwise.operators.customers import add_history, add_return_flag, customer_value
 from tillwise.operators.lines import (
-    classify_lines,
+    LINE_CLASS,
     clean_transactions,
     extract_cancellations,
+    label_lines,
     split_anonymous,
 )
 from tillwise.operators.orders import build_orders
 from tillwise.operators.rfm import add_rfm, quartile_edges
+from tillwise.plans.kpis import customer_audit, line_counts
 from tillwise.plans.reports import CATALOG
 from tillwise.sources.reports import write_report
-from tillwise.sources.staging import stage
+from tillwise.sources.staging import released_after, stage, staging_folder
 from tillwise.sources.tables import (
     RetailTables,
-    read_table,
+    new_version,
+    publish,
     read_tables,
+    read_version,
     write_line_tables,
     write_table,
 )
 
+#: Columns of labelled lines that orders, returns, shares and counts are made from.
+ROLL_UP_COLUMNS = [
+    "invoice", "quantity", "invoice_date", "price", "customer_id", "country", "revenue", LINE_CLASS,
+]
+
 
 def orders_of_raw(raw: DataFrame) -> DataFrame:
     """Order rows straight from the raw feed."""
@@ -41,36 +50,75 @@ def cancellations_of_raw(raw: DataFrame) -> DataFrame:
     return extract_cancellations(identified)
 
 
-def scored_customers(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    """Features with scores and tier, from stored orders.
+def staged_lines(raw: DataFrame, folder: str | None = None) -> DataFrame:
+    """All lines with their class, stored with just the columns that roll-ups read."""
+    return stage(label_lines(raw).select(*ROLL_UP_COLUMNS), "lines", folder)
+
+
+def orders_of_lines(lines: DataFrame) -> DataFrame:
+    """Order rows of labelled lines, without the count of products."""
+    sales = lines.filter(F.col(LINE_CLASS) == "transactions")
+    return build_orders(sales.withColumn("stock_code", F.lit(None).cast("string"))).drop("unique_products")
+
+
+def cancellations_of_lines(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col(LINE_CLASS) == "cancellations")
+
 
-    Scores need the quartiles of all customers first, so the feature rows are staged:
-    the way from the orders to the customers is then done once, not once per reader.
+def scored_customers(
+    orders: DataFrame, config: AnalyticsConfig, staging: str | None = None
+) -> DataFrame:
+    """Customer values with scores and tier; reads ``orders`` once.
+
+    Scores need the quartiles of all customers first, so the values are staged: the way
+    from the orders to the customers is then done once, not once per reader.
     """
-    features = stage(customer_features(orders, config), "customer-features")
-    return add_rfm(features, quartile_edges(features))
+    value = stage(customer_value(orders, config), "customer-value", staging)
+    return add_rfm(value, quartile_edges(value))
 
 
 def build_customers(
-    orders: DataFrame, cancellations: DataFrame, config: AnalyticsConfig
+    orders: DataFrame,
+    cancellations: DataFrame,
+    config: AnalyticsConfig,
+    staging: str | None = None,
 ) -> DataFrame:
     """The complete customer table, from stored orders."""
     return (
-        scored_customers(orders, config)
+        add_history(scored_customers(orders, config, staging), orders, config)
         .transform(add_return_flag, cancellations)
         .select(*schemas.CUSTOMERS.names)
     )
 
 
-def build_tables(raw: DataFrame, folder: str, config: AnalyticsConfig) -> RetailTables:
-    """Replace all five stored tables; the raw feed is read once."""
+def build_tables(
+    raw: DataFrame, folder: str, config: AnalyticsConfig, staging: str | None = None
+) -> RetailTables:
+    """Build all five stored tables and the audit; the raw feed is read once.
+
+    Everything goes to a new version that replaces the old one only when complete. What was
+    staged on the way is removed at the end.
+    """
     spark = raw.sparkSession
-    write_line_tables(classify_lines(raw), folder)
-    write_table(build_orders(read_table(spark, folder, "transactions")), folder, "orders")
-    customers = build_customers(
-        read_table(spark, folder, "orders"), read_table(spark, folder, "cancellations"), config
-    )
-    write_table(customers, folder, "customers")
+    staging = staging or staging_folder(spark)  # fails here, before anything is written
+    version = new_version(folder)
+    seen = Observation(f"lines-{uuid4().hex}")
+    lines = label_lines(raw).observe(seen, *line_counts())
+    with released_after(spark):
+        write_line_tables(lines.filter(F.col(LINE_CLASS).isNotNull()), version)
+        write_table(build_orders(read_version(spark, version, "transactions")), version, "orders")
+        orders = read_version(spark, version, "orders")
+        cancellations = read_version(spark, version, "cancellations")
+        customers = build_customers(orders, cancellations, config, staging)
+        write_table(customers, version, "customers")
+        counts = [
+            F.struct(F.lit(k).alias("metric"), F.lit(float(v)).alias("value"))
+            for k, v in seen.get.items()
+        ]
+        counted = spark.range(1).select(F.inline(F.array(*counts)))
+        audit = counted.unionByName(customer_audit(orders, config))
+        audit.coalesce(1).write.parquet(f"{version}/audit")
+    publish(spark, folder, version)
     return read_tables(spark, folder)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from tillwise.config import AnalyticsConfig
 from tillwise.functions import lines as L
 from tillwise.functions.calendar import day_key, month_offset, week_key
 from tillwise.functions.numbers import (
+    MONEY,
     mean_money,
+    money,
     rate_pct,
     rounded,
     share_pct,
@@ -101,30 +104,46 @@ def cohort_retention(
     return _shaped(report, "cohort_retention").orderBy("cohort_month", "months_since_first")
 
 
-def activity_trend(orders: DataFrame) -> DataFrame:
-    """Active customers, invoices and revenue per day and per week, in one pass.
+def activity_trend(orders: DataFrame, granularities: Sequence[str] = (DAY, WEEK)) -> DataFrame:
+    """Active customers, invoices and revenue per day and per week.
 
-    Both granularities and both distinct counts come from one expanded aggregate whose
-    shuffle key holds the counted id, so a day with a huge share of the orders spreads
-    over many tasks.
+    Each order row becomes two rows, one for its customer (with the revenue) and one for its
+    invoice, and these combine to one row per day and customer or invoice before and after
+    the first shuffle. Its key holds the counted id, so a day with a huge share of the orders
+    spreads over many tasks. Days and weeks are then taken from these small sets.
     """
-    periods = (
-        orders.withColumn("week", week_key(F.col("order_date")))
-        .groupingSets([["order_date"], ["week"]], "order_date", "week")
-        .agg(
-            F.grouping("order_date").alias("is_week"),
-            F.count_distinct("customer_id").alias("active_customers"),
-            F.count_distinct("invoice").alias("orders_placed"),
-            rounded(total_money(F.col("total_revenue")), 2).alias("revenue"),
-        )
+    customer = F.struct(
+        F.lit(True).alias("is_customer"),
+        F.col("customer_id").alias("id"),
+        money(F.col("total_revenue")).alias("revenue"),
+    )
+    invoice = F.struct(
+        F.lit(False).alias("is_customer"),
+        F.col("invoice").alias("id"),
+        F.lit(None).cast(MONEY).alias("revenue"),
     )
-    is_week = F.col("is_week") == 1
-    report = periods.withColumns(
-        {
-            "period": F.when(is_week, F.col("week")).otherwise(day_key(F.col("order_date"))),
-            "granularity": F.when(is_week, WEEK).otherwise(DAY),
-        }
+    by_day = (
+        orders.select("order_date", F.inline(F.array(customer, invoice)))
+        .groupBy("order_date", "is_customer", "id")
+        .agg(F.sum("revenue").alias("revenue"))
     )
+    measures = [
+        F.count(F.when(F.col("is_customer"), F.col("id"))).alias("active_customers"),
+        F.count(F.when(~F.col("is_customer"), F.col("id"))).alias("orders_placed"),
+        rounded(F.sum("revenue"), 2).alias("revenue"),
+    ]
+    parts = {
+        DAY: lambda: by_day.groupBy(day_key(F.col("order_date")).alias("period")),
+        WEEK: lambda: (
+            by_day.groupBy(week_key(F.col("order_date")).alias("period"), "is_customer", "id")
+            .agg(F.sum("revenue").alias("revenue"))
+            .groupBy("period")
+        ),
+    }
+    found = [
+        parts[g]().agg(*measures).withColumn("granularity", F.lit(g)) for g in granularities
+    ]
+    report = reduce(DataFrame.unionByName, found)
     return _shaped(report, "activity_trend").orderBy("granularity", "period")
 
 
@@ -205,23 +224,17 @@ def share_of_lines(lines: DataFrame) -> DataFrame:
     return _shaped(report, "anonymous_share")
 
 
-def anonymous_share(transactions: DataFrame, anonymous_tx: DataFrame) -> DataFrame:
-    """How much of lines and revenue carries no customer id."""
-    identified = transactions.select("revenue", F.lit(IDENTIFIED).alias("customer_type"))
-    anonymous = anonymous_tx.filter(L.is_countable_anonymous_sale()).select(
-        "revenue", F.lit(ANONYMOUS).alias("customer_type")
-    )
-    return share_of_lines(identified.unionByName(anonymous))
-
+def anonymous_share(lines: DataFrame) -> DataFrame:
+    """How much of lines and revenue carries no customer id.
 
-def anonymous_share_of_raw(raw: DataFrame) -> DataFrame:
-    """The same report straight from the raw feed, reading it once."""
-    counted = F.when(L.is_anonymous(), L.is_countable_anonymous_sale()).otherwise(
-        L.is_clean_sale()
-    )
+    ``lines`` is the raw feed or the union of the stored sales and anonymous lines; both
+    give the same result. What all counted lines share is filtered first, as plain
+    comparisons that reach the scan.
+    """
     label = F.when(L.is_anonymous(), ANONYMOUS).otherwise(IDENTIFIED)
+    counted = lines.filter(L.is_priced_sale()).filter(L.is_countable_invoice())
     return share_of_lines(
-        raw.filter(counted).select(L.line_revenue().alias("revenue"), label.alias("customer_type"))
+        counted.select(L.line_revenue().alias("revenue"), label.alias("customer_type"))
     )
 
 
@@ -245,6 +258,8 @@ CATALOG: dict[str, Report] = {
     "activity_trend": lambda t, _: activity_trend(t.orders),
     "time_to_second_purchase": lambda t, _: time_to_second_purchase(t.customers),
     "order_frequency_aha": lambda t, _: order_frequency_aha(t.customers),
-    "anonymous_share": lambda t, _: anonymous_share(t.transactions, t.anonymous_tx),
+    "anonymous_share": lambda t, _: anonymous_share(
+        t.transactions.unionByName(t.anonymous_tx)
+    ),
     "returns_analysis": lambda t, _: returns_analysis(t.customers),
 }

@@ -85,6 +85,19 @@ REPORTS = {
     ),
 }
 
+# Sort columns of each report's file, and whether they run down.
+REPORT_ORDER = {
+    "churn_by_rfm_tier": [("churn_rate_pct", True), ("rfm_tier", False)],
+    "cohort_retention": [("cohort_month", False), ("months_since_first", False)],
+    "activity_trend": [("granularity", False), ("period", False)],
+    "time_to_second_purchase": [("sort_order", False)],
+    "order_frequency_aha": [("sort_order", False)],
+    "anonymous_share": [("customer_type", True)],
+    "returns_analysis": [("returner_group", False)],
+}
+
+AUDIT = _schema("metric string, value double")
+
 # Columns of the sample tables that the adapter reads.
 SAMPLE_TABLES = {
     "lineitem": _schema(

@@ -2,36 +2,64 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwise.sources.files import delete
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Only for local sessions that name no folder.
+LOCAL_FOLDER = "/tmp/checkpoints"
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tillwise-")
+_staged: list[str] = []
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one for local sessions only."""
+    """The shared folder the cluster names; a local one for local sessions only."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
+        return LOCAL_FOLDER
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def new_folder(spark: SparkSession, label: str, folder: str | None = None) -> str:
+    """A fresh path that ``release`` will remove."""
+    path = f"{(folder or staging_folder(spark)).rstrip('/')}/{label}-{uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The upstream work is not repeated by later readers, columns stay prunable, and the
-    rows survive the loss of any executor.
+    rows survive the loss of any executor. Call ``release`` once the results are consumed.
     """
-    path = f"{staging_folder(df.sparkSession)}/{label}-{uuid4().hex}"
+    path = new_folder(df.sparkSession, label, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, kept: int = 0) -> None:
+    """Remove what this process has staged, but for the first ``kept`` paths.
+
+    Plans that read the removed tables are used up.
+    """
+    while len(_staged) > kept:
+        delete(spark, _staged.pop())
+
+
+@contextmanager
+def released_after(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, what was staged inside."""
+    kept = len(_staged)
+    try:
+        yield
+    finally:
+        release(spark, kept)

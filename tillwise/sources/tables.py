@@ -2,11 +2,17 @@
 
 The three line tables are partitions of one folder, so a single pass over the feed
 writes all of them; a reader of one table touches only its own files.
+
+A build writes into a version folder of its own. Only when all of it is there, the version
+is entered in a log, in one file that appears as a whole; readers take the latest entry. So
+a build that fails leaves readers on the tables they had. Older versions stay until
+``drop_old_versions``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +20,12 @@ from pyspark.sql import types as T
 
 from tillwise import schemas
 from tillwise.operators.lines import LINE_CLASS
+from tillwise.sources.files import delete, exists
 
 LINES_FOLDER = "lines"
 LINE_TABLES = ("transactions", "anonymous_tx", "cancellations")
+VERSION_LOG = "versions"
+VERSION_SCHEMA = "number bigint, version string"
 
 
 @dataclass(frozen=True)
@@ -33,33 +42,81 @@ class RetailTables:
             getattr(self, field.name).createOrReplaceTempView(field.name)
 
 
-def write_line_tables(lines: DataFrame, folder: str) -> None:
-    """Replace the three line tables from classified lines, without a shuffle."""
+def new_version(folder: str) -> str:
+    """The path of a version that no reader sees yet."""
+    return f"{folder}/tables-{uuid4().hex}"
+
+
+def _logged(spark: SparkSession, folder: str) -> list:
+    log = f"{folder}/{VERSION_LOG}"
+    if not exists(spark, log):
+        return []
+    return spark.read.schema(VERSION_SCHEMA).parquet(log).orderBy("number").collect()
+
+
+def publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Make a complete version the one that readers get."""
+    number = max((row["number"] for row in _logged(spark, folder)), default=0) + 1
+    entry = spark.range(1).select(
+        F.lit(number).cast("bigint").alias("number"),
+        F.lit(version.rsplit("/", 1)[-1]).alias("version"),
+    )
+    entry.write.mode("append").parquet(f"{folder}/{VERSION_LOG}")
+
+
+def current_version(spark: SparkSession, folder: str) -> str:
+    logged = _logged(spark, folder)
+    if not logged:
+        raise FileNotFoundError(f"no tables were built in {folder}")
+    return f"{folder}/{logged[-1]['version']}"
+
+
+def drop_old_versions(spark: SparkSession, folder: str) -> None:
+    """Remove all versions but the current one; their readers must be done."""
+    for row in _logged(spark, folder)[:-1]:
+        delete(spark, f"{folder}/{row['version']}")
+
+
+def write_line_tables(lines: DataFrame, version: str) -> None:
+    """The three line tables from classified lines, without a shuffle."""
     (
         lines.select(*schemas.LINES.names, LINE_CLASS)
         .write.mode("overwrite")
+        # Overwriting means all partitions, whatever the session's own mode is.
+        .option("partitionOverwriteMode", "static")
         .partitionBy(LINE_CLASS)
-        .parquet(f"{folder}/{LINES_FOLDER}")
+        .parquet(f"{version}/{LINES_FOLDER}")
     )
 
 
-def write_table(df: DataFrame, folder: str, name: str) -> None:
-    """Replace one stored table."""
-    df.select(*schemas.TABLES[name].names).write.mode("overwrite").parquet(f"{folder}/{name}")
+def write_table(df: DataFrame, version: str, name: str) -> None:
+    df.select(*schemas.TABLES[name].names).write.mode("overwrite").parquet(f"{version}/{name}")
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def read_version(spark: SparkSession, version: str, name: str) -> DataFrame:
+    """One table of a version."""
     schema = schemas.TABLES[name]
     if name not in LINE_TABLES:
-        return spark.read.schema(schema).parquet(f"{folder}/{name}")
+        return spark.read.schema(schema).parquet(f"{version}/{name}")
     stored = T.StructType([*schema.fields, T.StructField(LINE_CLASS, T.StringType())])
     return (
         spark.read.schema(stored)
-        .parquet(f"{folder}/{LINES_FOLDER}")
+        .parquet(f"{version}/{LINES_FOLDER}")
         .filter(F.col(LINE_CLASS) == name)
         .drop(LINE_CLASS)
     )
 
 
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_version(spark, current_version(spark, folder), name)
+
+
 def read_tables(spark: SparkSession, folder: str) -> RetailTables:
-    return RetailTables(**{name: read_table(spark, folder, name) for name in schemas.TABLES})
+    version = current_version(spark, folder)
+    return RetailTables(**{name: read_version(spark, version, name) for name in schemas.TABLES})
+
+
+def read_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts and churn of the current version, as its build found them."""
+    version = current_version(spark, folder)
+    return spark.read.schema(schemas.AUDIT).parquet(f"{version}/audit")
