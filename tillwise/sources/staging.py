@@ -23,7 +23,8 @@ def staging_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master == "local" or master.startswith("local["):
         return LOCAL_FOLDER
     raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
 
