@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def build_session(app_name: str = "tillwise", **conf: str) -> SparkSession:
     builder = (
@@ -16,3 +24,22 @@ def build_session(app_name: str = "tillwise", **conf: str) -> SparkSession:
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, for sessions that start outside its folder.
+
+    The archive is handed out by Spark's own file server, once for each application.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="tillwise-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
