@@ -12,11 +12,11 @@
 How groups of any size are handled. Documents with equal sets are one class from the start. Each
 class is first checked against one other only, the bucket centre with which it shares most bands;
 that joins most of a group of copies. What is left are pairs in a bucket whose classes are still in
-different components: buckets are dealt out in blocks of ``BLOCK`` classes, and each task compares
-two blocks' signatures in numpy. It passes on only pairs in different components that share a band
-and whose estimate is near the threshold, once per pair, and these are verified exactly as well. So
-no pair that shares a band is skipped unless its classes are already in one component or its
-estimate is more than ``MARGIN`` below the threshold.
+different components: buckets are dealt out in blocks of ``BLOCK`` classes, and a group of two
+blocks compares signatures in numpy. Classes with a partner in another component and an estimate
+near the threshold go on, with their texts, and the group checks those pairs on full sets. Pairs
+are never rows. So no pair that shares a band is skipped unless its classes are already in one
+component or its estimate is more than ``MARGIN`` below the threshold.
 
 Chances to lose a link: at a threshold of 0.85, 32 bands of 8 rows miss a pair of just that
 similarity with 4e-5 (0.9: 2e-8); at 0.8, 42 bands of 6 rows with 3e-6. The margin of 0.1 is over
@@ -42,9 +42,10 @@ MISS = 1e-4
 #: Estimates this far below the threshold rule a pair out.
 MARGIN = 0.1
 #: Classes of a bucket that one task compares with as many others.
-BLOCK = 1024
-#: Shingles sketched at a time.
+BLOCK = 512
+#: Shingles sketched, and bytes of text cut, at a time.
 CHUNK = 1 << 16
+CHUNK_BYTES = 2 << 20
 SEED = 20_170_618
 
 
@@ -125,7 +126,7 @@ def sketches(documents: DataFrame, size: int, rows_each: int, id_column: str = "
     n_bands = REGISTERS // rows_each
 
     def sketched(batches):
-        for batch in batches:
+        for batch in W.pieces(batches, 1, CHUNK_BYTES):
             elements, first = shingles(batch.column(1), size)
             n = np.diff(first)
             # Names of sets: sums over their elements, so they do not depend on order.
@@ -160,9 +161,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                 y, fy = shingles(part.column(3), size)
                 keep = []
                 for k in range(part.num_rows):
-                    p, q = x[fx[k] : fx[k + 1]], y[fy[k] : fy[k + 1]]
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
+                    keep.append(_linked(x[fx[k] : fx[k + 1]], y[fy[k] : fy[k + 1]], percent))
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(checked, "a long, b long")
@@ -191,36 +190,42 @@ def _forest(batches):
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest reachable node) for every node of ``edges`` (a, b).
 
-    After union-find inside tasks, rounds of: each node learns its least neighbour; its other
-    neighbours are tied to that one instead. A hub's neighbours are never collected.
+    After union-find inside tasks, rounds of: each node learns its least neighbour; both ends of
+    an edge are tied to the lesser of what the two have learned. A hub's neighbours are never
+    collected, and the number of rounds grows with the logarithm of the longest chain.
     """
-    edges = edges.mapInArrow(_forest, "a long, b long")
-    edges = stored(edges.distinct())
+    edges = stored(edges.mapInArrow(_forest, "a long, b long").distinct())
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        # Large star: greater neighbours of a node go to its least one. Small star: so does the node.
-        tied = edges.withColumnRenamed("a", "high").withColumnRenamed("b", "low")
-        tied = tied.select(F.greatest("high", "low").alias("high"), F.least("high", "low").alias("low"))
-        near = least.select(F.col("a").alias("low"), F.col("least").alias("low_least"))
-        own = least.select(F.col("a").alias("high"), F.col("least").alias("high_least"))
-        found = tied.join(near, "low").join(own, "high")
-        pulled = found.select(F.col("high").alias("a"), F.col("low_least").alias("b")).union(found.select(F.col("high").alias("a"), F.col("high_least").alias("b")))
-        pulled = pulled.union(found.select(F.col("low").alias("a"), F.col("low_least").alias("b"))).where("a != b").distinct()
-        now = stored(pulled)
-        # Done when every node has one tie and no target is itself tied.
-        targets = now.select(F.col("b").alias("a")).distinct()
-        many = now.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if now.join(targets, "a", "left_semi").isEmpty() and many.isEmpty():
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(targets.select(F.col("a").alias("node"), F.col("a").alias("component")))
-        edges = now
-
-
-def open_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs in one bucket and different components whose estimate is near the threshold.
+        of_a = least.select("a", F.col("least").alias("least_a"))
+        of_b = least.select(F.col("a").alias("b"), F.col("least").alias("least_b"))
+        ties = edges.join(of_a, "a").join(of_b, "b").select(F.explode(F.array("a", "b")).alias("a"), F.least("least_a", "least_b").alias("b"))
+        edges = stored(ties.where("a != b").distinct())
+        # Done when every node has one tie and none of a tie's targets is tied itself.
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(edges.select("b", F.lit(0), F.lit(1)))
+        open_ends = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 OR (out = 1 AND into = 1)")
+        if open_ends.isEmpty():
+            roots = edges.select(F.col("b").alias("node")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+
+
+def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold, exactly."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+BLOCK_KEY = ["bucket", "low", "high"]
+
+
+def open_members(members: DataFrame, percent: int) -> DataFrame:
+    """BLOCK_KEY, doc_id, component, partners: classes that may have a link across components.
 
     members: bucket, doc_id, component, bands, marks of buckets with several components. A pair of
-    blocks is one group, so a bucket of g classes gives g * ceil(g / BLOCK) rows, not g * g.
+    blocks is one group, so a bucket of g classes gives g * ceil(g / BLOCK) rows, not g * g. The
+    partners of a class are those in its group that are in another component, share no earlier
+    bucket with it, and have an estimate near the threshold; best estimates come first.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -229,13 +234,13 @@ def open_pairs(members: DataFrame, percent: int) -> DataFrame:
     least = (percent / 100 - MARGIN) * (1 - 1 / 256) + 1 / 256
 
     def compare(keys: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("doc_id")
         ids, component = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
         bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         marks = np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        block, bucket = rows["block"].to_numpy(), keys[0].as_py()
-        low, high = keys[1].as_py(), keys[2].as_py()
-        a, b = [], []
+        block = rows["block"].to_numpy()
+        bucket, low, high = (k.as_py() for k in keys)
+        partners: list[list[int]] = [[] for _ in ids]
+        involved = np.zeros(len(ids), bool)
         for i in range(len(ids)):
             if low == high:
                 others = np.arange(i + 1, len(ids))
@@ -244,18 +249,56 @@ def open_pairs(members: DataFrame, percent: int) -> DataFrame:
             else:
                 continue
             others = others[component[others] != component[i]]
-            if not len(others):
-                continue
-            others = others[(marks[others] == marks[i]).mean(axis=1) >= least]
-            # The bucket of the first band that both share reports the pair; the rest keep silent.
+            # The bucket of the first band that both share has the pair; the rest leave it out.
             shared = bands[others] == bands[i]
-            others = others[bands[i][shared.argmax(axis=1)] == bucket]
-            a.append(np.minimum(ids[i], ids[others]))
-            b.append(np.maximum(ids[i], ids[others]))
-        empty = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or empty), "b": np.concatenate(b or empty)})
+            others = others[bands[i][shared.argmax(axis=1)] == bucket] if len(others) else others
+            estimate = (marks[others] == marks[i]).mean(axis=1)
+            others, estimate = others[estimate >= least], estimate[estimate >= least]
+            if len(others):
+                partners[i] = ids[others[np.argsort(-estimate, kind="stable")]].tolist()
+                involved[i] = involved[others] = True
+        keep = np.flatnonzero(involved)
+        columns = [pa.array([k.as_py()] * len(keep), t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()))]
+        columns += [pa.array(ids[keep]), pa.array(component[keep]), pa.array([partners[i] for i in keep], pa.list_(pa.int64()))]
+        return pa.Table.from_arrays(columns, [*BLOCK_KEY, "doc_id", "component", "partners"])
+
+    schema = "bucket long, low int, high int, doc_id long, component long, partners array<long>"
+    return dealt.select(*BLOCK_KEY, "block", "doc_id", "component", "bands", "marks").groupBy(*BLOCK_KEY).applyInArrow(compare, schema)
+
+
+def open_links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """a, b: confirmed links that tie different components together, from ``open_members``.
+
+    Each group gets its members' texts once and checks its pairs on full sets. A pair whose
+    components an earlier link of the group has tied needs no check and no row.
+    """
+
+    def confirm(keys: tuple, rows: pa.Table) -> pa.Table:
+        sets: list[np.ndarray] = []
+        for batch in W.pieces(rows.select(["text"]).to_batches(), 0, CHUNK_BYTES):
+            elements, first = shingles(batch.column(0), size)
+            sets += [elements[a:b] for a, b in zip(first, first[1:])]
+        ids, component = rows["doc_id"].to_pylist(), rows["component"].to_pylist()
+        place = {doc_id: k for k, doc_id in enumerate(ids)}
+        parent = {c: c for c in component}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        a, b = [], []
+        for k, partners in enumerate(rows["partners"].to_pylist()):
+            for partner in partners:
+                x, y = root(component[k]), root(component[place[partner]])
+                if x != y and _linked(sets[k], sets[place[partner]], percent):
+                    parent[max(x, y)] = min(x, y)
+                    a.append(ids[k])
+                    b.append(partner)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.select("bucket", "low", "high", "block", "doc_id", "component", "bands", "marks").groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
+    return members.join(texts, "doc_id").groupBy(*BLOCK_KEY).applyInArrow(confirm, "a long, b long")
 
 
 def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -282,7 +325,7 @@ def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_colum
     members = in_buckets.where("n > 2").join(first, in_buckets["doc_id"] == first["node"], "left").select("bucket", "doc_id", label.alias("component"))
     unsettled = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
     members = members.join(unsettled, "bucket").join(marked, "doc_id")
-    more = stored(verified(stored(open_pairs(members, percent).distinct()), texts, size, percent))
+    more = stored(open_links(stored(open_members(members, percent)), texts, size, percent))
     final = components(links.union(more))
 
     named_classes = classes.join(final, classes["class"] == final["node"], "left").select("n_shingles", "low", "high", F.coalesce("component", "class").alias("component_id"))

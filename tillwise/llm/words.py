@@ -7,7 +7,7 @@ by a 64-bit hash of their bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,6 +103,25 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[first[0] : first[-1]], first - first[0]
 
 
+def slices(batch: pa.RecordBatch, texts: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about so much text in column ``texts``.
+
+    Arrays that are made per word or byte stay small, however large Spark's batches are.
+    """
+    ends = np.cumsum(np.diff(text_bytes(batch.column(texts))[1]))
+    row = 0
+    while row < batch.num_rows:
+        to = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + most_bytes, "right")))
+        yield batch.slice(row, to - row)
+        row = to
+
+
+def pieces(batches: Iterable[pa.RecordBatch], texts: int = 0, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """All batches in ``slices``."""
+    for batch in batches:
+        yield from slices(batch, texts, most_bytes)
+
+
 def spans(data: np.ndarray, first: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of all words; no word crosses from one text to the next."""
     if not len(data):
