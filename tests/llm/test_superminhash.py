@@ -1,11 +1,16 @@
+import os
 import random
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD_TEXTS, prose
 from tillwise.llm import superminhash as S
+from tillwise.llm.queries import ORACLE_SQL, op6_superminhash
+
+SAMPLE = "/root/testdata/sf0.01"
 
 
 def sets_of(texts, size):
@@ -44,12 +49,24 @@ def near_copies(seed, n, changes):
         yield " ".join(words)
 
 
+def drifting(seed, n):
+    """Each text is an edited copy of the one before."""
+    rng = random.Random(seed)
+    words = prose(seed, 100).split()
+    for _ in range(n):
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(len(words))] = prose(rng.randrange(10**6), 1)
+        yield " ".join(words)
+
+
 @pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
 def test_equals_brute_force(spark, documents, monkeypatch, size, percent):
     monkeypatch.setattr(S, "BLOCK", 16)  # so that hot buckets are dealt in many blocks
     texts = ODD_TEXTS + [prose(20, 100)] * 30 + [prose(k, 90) for k in range(30, 60)]
     for seed in (100, 101, 102):
         texts += near_copies(seed, 40, 9)
+    for seed in range(200, 240):
+        texts += drifting(seed, 5)
     random.Random(1).shuffle(texts)
     found = S.deduplicate(documents(texts), size, percent).orderBy("doc_id").collect()
     want = brute(texts, size, percent)
@@ -57,6 +74,14 @@ def test_equals_brute_force(spark, documents, monkeypatch, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+@pytest.mark.skipif(not os.path.isdir(SAMPLE), reason="sample tables absent")
+def test_sample_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SAMPLE}/documents.parquet'")
+    want = sorted(con.execute(ORACLE_SQL["op6_superminhash"]).fetchall())
+    assert sorted(tuple(r) for r in op6_superminhash(spark, SAMPLE).collect()) == want
+
+
 def test_signature_is_exact_and_estimates_are_close():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
