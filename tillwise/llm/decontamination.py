@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm import words as W
+
 ERROR_RATE = 0.08
 #: Pieces are not shorter than this; very short items have a smaller budget.
 LEAST_PIECE = 8
@@ -197,7 +199,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, id_column: str = "doc_id"
 
         def matched(batches):
             matcher = _matcher(name, sent.value)
-            for batch in batches:
+            for batch in W.pieces(batches, 1):
                 out = []
                 for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     found = list(matcher.matches(normalised(value))) if value else []
@@ -217,13 +219,14 @@ def find_leaks(documents: DataFrame, items: DataFrame, id_column: str = "doc_id"
 def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, same columns, less those that hold an item within its budget."""
     schema = documents.schema
+    at = documents.columns.index("text")
     for block in item_blocks(items):
         sent, name = documents.sparkSession.sparkContext.broadcast(block), uuid4().hex
 
         def clean(batches, sent=sent, name=name):
             matcher = _matcher(name, sent.value)
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            for batch in W.pieces(batches, at):
+                texts = batch.column(at).to_pylist()
                 yield batch.filter(pa.array([not t or next(matcher.matches(normalised(t)), None) is None for t in texts], pa.bool_()))
 
         documents = documents.mapInArrow(clean, schema)

@@ -33,7 +33,7 @@ VARIANTS = 4
 #: Units with more symbols than this go through the heap.
 LONG_UNIT = 256
 #: Bytes of text segmented at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _SPACE_SIGN = "▁"
 _NONE = np.int32(2**31 - 1)
 
@@ -160,8 +160,8 @@ def segment_units(pieces: Pieces, symbols: np.ndarray, first: np.ndarray, unit:
         result.append((np.array([k]), np.array([len(ids)]), ids))
     live = np.flatnonzero(length <= LONG_UNIT)
     inside = np.repeat(length <= LONG_UNIT, length)
-    symbol, length = symbols[inside].astype(np.int64), length[live]
-    start = np.arange(len(symbol)) - np.repeat(np.concatenate([[0], np.cumsum(length)[:-1]]), length) if len(live) else symbol
+    symbol, length = symbols[inside].astype(np.int32), length[live]
+    start = symbol if not len(live) else (np.arange(len(symbol)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
     end = start + 1
 
     def ranks(left: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,24 +295,15 @@ def encode(documents: DataFrame, model_file: str | None = None, rate: float = RA
 
     def encoded(batches):
         pieces = pieces_of(path)
-        for batch in batches:
-            lengths = np.cumsum(np.diff(W.text_bytes(batch.column(1))[1]))
-            row = 0
-            while row < batch.num_rows:
-                to = max(row + 1, int(np.searchsorted(lengths, (lengths[row - 1] if row else 0) + CHUNK_BYTES, "right")))
-                part = batch.slice(row, to - row)
-                ids, first = encode_texts(pieces, part.column(1), _document_keys(part.column(0)), rate, seed)
-                data, begins = decode_ids(pieces, ids, first)
-                source, offsets = W.text_bytes(part.column(1))
-                same = np.diff(begins) == np.diff(offsets)
-                if same.all() and np.array_equal(data, source):
-                    lossless = same
-                else:
-                    lossless = np.array([np.array_equal(data[a:b], source[c:d]) for a, b, c, d in zip(begins, begins[1:], offsets, offsets[1:])])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids)), pa.array(np.diff(first)), pa.array(lossless)], ["doc_id", "ids", "n_tokens", "lossless"]
-                )
-                row = to
+        for part in W.pieces(batches, 1, CHUNK_BYTES):
+            ids, first = encode_texts(pieces, part.column(1), _document_keys(part.column(0)), rate, seed)
+            data, begins = decode_ids(pieces, ids, first)
+            source, offsets = W.text_bytes(part.column(1))
+            lossless = np.diff(begins) == np.diff(offsets)
+            if not (lossless.all() and np.array_equal(data, source)):
+                lossless = np.array([np.array_equal(data[a:b], source[c:d]) for a, b, c, d in zip(begins, begins[1:], offsets, offsets[1:])])
+            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(np.diff(first)), pa.array(lossless)], ["doc_id", "ids", "n_tokens", "lossless"])
 
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(encoded, "doc_id long, ids array<int>, n_tokens long, lossless boolean")

@@ -76,7 +76,7 @@ def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
 
     def partial(batches):
         total = np.zeros(SLOTS * DIM, np.int32)
-        for batch in batches:
+        for batch in W.pieces(batches):
             _add_contexts(total, W.hashed_words(batch.column(0), W.UNITS))
         for part, block, payload in block_rows(TaskContext.get().partitionId(), total, BLOCKS):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([block], pa.int32()), pa.array([payload], pa.binary())], ["part", "block", "payload"])
@@ -213,7 +213,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -
     shared = documents.sparkSession.sparkContext.broadcast(vectors)
 
     def featured(batches):
-        for batch in batches:
+        for batch in W.pieces(batches, 1):
             x = features(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), N_FEATURES).cast(pa.list_(pa.float32())), batch.column(2)], ["doc_id", "x", "label"]
@@ -232,7 +232,7 @@ def score_quality(documents: DataFrame, model: QualityModel, threshold: float =
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        for batch in batches:
+        for batch in W.pieces(batches, 1):
             score = shared.value.network.probabilities(features(batch.column(1), shared.value.vectors))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
 
@@ -245,11 +245,12 @@ def score_quality(documents: DataFrame, model: QualityModel, threshold: float =
 
 def keep_quality(documents: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
     """The documents, same columns, whose score reaches the threshold."""
+    text = documents.columns.index("text")
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
+        for batch in W.pieces(batches, text):
+            texts = batch.column(text)
             good = shared.value.network.probabilities(features(texts, shared.value.vectors)) >= threshold
             yield batch.filter(pa.array(good))
 

@@ -144,7 +144,7 @@ def find_secrets(documents: DataFrame, rank_file: str | None = None, id_column:
     def scanned(batches):
         encoding = _encoding(path)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in W.pieces(batches, 1):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in batch_spans(batch.column(1), encoding)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["doc_id", "spans"])
 
@@ -177,11 +177,11 @@ def redact_secrets(documents: DataFrame, rank_file: str | None = None) -> DataFr
     """The documents, same columns, with secrets in ``text`` replaced and ``n_chars`` counted anew."""
     path = rank_file or _rank_file()
     schema = documents.schema
+    at = documents.columns.index("text")
 
     def cleaned(batches):
         encoding = _encoding(path)
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
+        for batch in W.pieces(batches, at):
             texts = batch.column(at)
             clean = [redact(t, s) for t, s in zip(texts.to_pylist(), batch_spans(texts, encoding))]
             yield batch.set_column(at, batch.schema.field(at), pa.array(clean, texts.type))

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Only for local sessions without spark.checkpoint.dir, as in tests.
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+from tillwise.sources.staging import new_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,13 +16,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared one, which the session names."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = LOCAL_CHECKPOINTS
-    return f"{base.rstrip('/')}/llm-{uuid4().hex}"
+    """A fresh folder in the cluster's shared one; ``release`` of the staging module removes it."""
+    return new_folder(spark, "llm")
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -213,21 +213,15 @@ def write_codes(documents: DataFrame, path: str, tokenizer: str | None = None, i
             kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "seq", "n_docs", "n_tokens", "payload"])
 
-        for batch in batches:
-            lengths = np.cumsum(np.diff(W.text_bytes(batch.column(1))[1]))
-            row = 0
-            while row < batch.num_rows:
-                base = lengths[row - 1] if row else 0
-                to = max(row + 1, int(np.searchsorted(lengths, base + CHUNK_BYTES, "right")))
-                found, first = encoder.encode(batch.column(1).slice(row, to - row))
-                for k, doc_id in enumerate(batch.column(0).slice(row, to - row).to_pylist()):
-                    doc_ids.append(doc_id)
-                    ids.append(np.append(found[first[k] : first[k + 1]], np.uint32(END_ID)))
-                    size += len(ids[-1])
-                    if size >= SEGMENT_TOKENS:
-                        yield packed()
-                        doc_ids, ids, size, seq = [], [], 0, seq + 1
-                row = to
+        for batch in W.pieces(batches, 1, CHUNK_BYTES):
+            found, first = encoder.encode(batch.column(1))
+            for k, doc_id in enumerate(batch.column(0).to_pylist()):
+                doc_ids.append(doc_id)
+                ids.append(np.append(found[first[k] : first[k + 1]], np.uint32(END_ID)))
+                size += len(ids[-1])
+                if size >= SEGMENT_TOKENS:
+                    yield packed()
+                    doc_ids, ids, size, seq = [], [], 0, seq + 1
         if doc_ids:
             yield packed()
 

@@ -84,7 +84,7 @@ def shared_counts(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def partial(batches):
         total = np.zeros((2, SHARED_SLOTS), np.int32)
-        for batch in batches:
+        for batch in W.pieces(batches):
             text = read_words(batch.column(0))
             rows = np.repeat(np.arange(len(text.first) - 1, dtype=np.uint64), np.diff(text.first))
             for low, high in W.row_chunks(text.first, CHUNK):
@@ -105,7 +105,7 @@ def pair_counts(sample: DataFrame) -> pa.Table:
     """before, word, stem, toxic, ordinary: how often each pair occurs in the (text, label) sample."""
 
     def partial(batches):
-        for batch in batches:
+        for batch in W.pieces(batches):
             text = read_words(batch.column(0))
             toxic = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(text.first)) == 1
             _, at, inverse = np.unique(pair_hash(text.before, text.word), return_index=True, return_inverse=True)
@@ -298,7 +298,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def evidence(batches):
-        for batch in batches:
+        for batch in W.pieces(batches):
             inputs = sent.value.evidence(batch.column(0)).reshape(batch.num_rows, -1)
             yield pa.RecordBatch.from_arrays([pa.array(list(inputs), pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["inputs", "label", "doc_id"])
 
@@ -317,7 +317,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        for batch in batches:
+        for batch in W.pieces(batches, 1):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sent.value.probabilities(batch.column(1)), pa.float64())], ["doc_id", "score"])
 
     return (
