@@ -19,8 +19,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.words import pieces
+
 #: (log2 of bytes, least ratio, greatest ratio); between the points the limits are interpolated.
-BANDS = ((0, 0.0, 99.0), (7, 0.38, 1.20), (8, 0.36, 1.00), (9, 0.34, 0.90), (10, 0.32, 0.80), (11, 0.30, 0.72), (12, 0.28, 0.66), (14, 0.25, 0.60), (17, 0.20, 0.58))
+BANDS = ((0, 0.0, 99.0), (7, 0.42, 1.20), (8, 0.42, 1.00), (9, 0.40, 0.85), (10, 0.38, 0.76), (11, 0.36, 0.70), (12, 0.34, 0.64), (14, 0.31, 0.58), (17, 0.26, 0.56))
 #: Bytes of a chunk; a last piece shorter than half of it is joined to the one before.
 CHUNK_BYTES = 4096
 #: A text is rejected if more than this share of its chunks is out of band.
@@ -96,7 +98,7 @@ def measure_texts(documents: DataFrame, id_column: str = "doc_id", text: str = "
     def measured(batches):
         compressor = zstandard.ZstdCompressor(level=LEVEL)
         names = [part.split()[0] for part in SCHEMA.split(", ")]
-        for batch in batches:
+        for batch in pieces(batches, 1):
             rows = []
             for value in batch.column(1).cast(pa.binary()):
                 data = value.as_py() or b""
