@@ -322,7 +322,7 @@ def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_colum
 
     # Buckets that still hold different components.
     label = F.coalesce("component", "doc_id")
-    members = in_buckets.where("n > 2").join(first, in_buckets["doc_id"] == first["node"], "left").select("bucket", "doc_id", label.alias("component"))
+    members = in_buckets.join(first, in_buckets["doc_id"] == first["node"], "left").select("bucket", "doc_id", label.alias("component"))
     unsettled = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
     members = members.join(unsettled, "bucket").join(marked, "doc_id")
     more = stored(open_links(stored(open_members(members, percent)), texts, size, percent))
