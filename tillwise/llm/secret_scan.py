@@ -35,6 +35,8 @@ RATIO = 1.9
 #: Hexadecimal digits of the usual digests (MD5, SHA-1, SHA-2).
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ANY_CASE = re.compile(r"[0-9a-fA-F]+")
+#: A digest that says so itself, as in integrity attributes and image names.
+_NAMED_DIGEST = re.compile(r"(?:md5|sha-?(?:1|224|256|384|512))[-_=/][A-Za-z0-9+/=]+", re.IGNORECASE)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _NUMBERS = re.compile(r"[0-9+/_=-]*")
 _WORDY = re.compile(r"([A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})([_/=+-]*([A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}))*")
@@ -76,7 +78,7 @@ def is_known_form(run: str) -> bool:
     """Digests, UUIDs, numbers and dates, and identifiers made of words and short numbers."""
     if _HEX_ANY_CASE.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
-    if _UUID.fullmatch(run) or _NUMBERS.fullmatch(run):
+    if _NAMED_DIGEST.fullmatch(run) or _UUID.fullmatch(run) or _NUMBERS.fullmatch(run):
         return True
     if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
         return True
