@@ -43,6 +43,8 @@ MISS = 1e-4
 MARGIN = 0.1
 #: Classes of a bucket that one task compares with as many others.
 BLOCK = 512
+#: Tasks that the rows of one bucket are spread over when they meet what is known of it.
+SALTS = 32
 #: Shingles sketched, and bytes of text cut, at a time.
 CHUNK = 1 << 16
 CHUNK_BYTES = 2 << 20
@@ -222,13 +224,12 @@ BLOCK_KEY = ["bucket", "low", "high"]
 def open_members(members: DataFrame, percent: int) -> DataFrame:
     """BLOCK_KEY, doc_id, component, partners: classes that may have a link across components.
 
-    members: bucket, doc_id, component, bands, marks of buckets with several components. A pair of
-    blocks is one group, so a bucket of g classes gives g * ceil(g / BLOCK) rows, not g * g. The
-    partners of a class are those in its group that are in another component, share no earlier
-    bucket with it, and have an estimate near the threshold; best estimates come first.
+    members: bucket, blocks (of its bucket), doc_id, component, bands, marks. A pair of blocks is
+    one group, so a bucket of g classes gives g * ceil(g / BLOCK) rows, not g * g. The partners of
+    a class are those in its group that are in another component, share no earlier bucket with
+    it, and have an estimate near the threshold; best estimates come first.
     """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = placed.select("*", other).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     least = (percent / 100 - MARGIN) * (1 - 1 / 256) + 1 / 256
@@ -320,11 +321,13 @@ def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_colum
     links = stored(verified(star, texts, size, percent))
     first = stored(components(links))
 
-    # Buckets that still hold different components.
-    label = F.coalesce("component", "doc_id")
-    members = in_buckets.join(first, in_buckets["doc_id"] == first["node"], "left").select("bucket", "doc_id", label.alias("component"))
-    unsettled = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
-    members = members.join(unsettled, "bucket").join(marked, "doc_id")
+    # Buckets that still hold different components. The rows of one bucket are spread over SALTS
+    # tasks; what is known of the bucket goes to each of them.
+    label, salt = F.coalesce("component", "doc_id"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
+    members = in_buckets.join(first, in_buckets["doc_id"] == first["node"], "left").select("bucket", salt, "doc_id", label.alias("component"))
+    spans = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    unsettled = spans.where("x != y").select("bucket", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    members = members.join(unsettled, ["bucket", "salt"]).join(marked, "doc_id")
     more = stored(open_links(stored(open_members(members, percent)), texts, size, percent))
     final = components(links.union(more))
 
