@@ -34,10 +34,13 @@ def test_each_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", list(entry_points.retail_queries()))
-def test_matches_oracle(spark, duck, name):
+def test_matches_oracle(spark, duck, name, checkpoint_folder):
+    release(spark)
+    before = set(os.listdir(checkpoint_folder))
     df = entry_points.queries()[name](spark, FOLDER)
     assert assert_same(df, duck, entry_points.oracle_sql()[name]) > 0
     release(spark)
+    assert set(os.listdir(checkpoint_folder)) == before
 
 
 @pytest.mark.parametrize("mutation", ["order_by_invoice", "case_sensitive_share", "second_invoice", "any_country"])
