@@ -236,32 +236,40 @@ def write_codes(documents: DataFrame, path: str, tokenizer: str | None = None, i
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
-    """The segments, each with the number of ids before it (``before``)."""
-    segments = spark.read.schema(SCHEMA).parquet(path)
+    """The segments of a folder."""
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def segment_starts(segments: DataFrame) -> DataFrame:
+    """part, seq and the number of ids before each segment; payloads are not read."""
     # Two short windows: over the parts (one row for each writing task), then inside each part.
     parts = segments.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
     in_order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("part_tokens").over(in_order), F.lit(0)).alias("part_before"))
     inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    places = segments.select("part", "seq", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("inside")).join(parts, "part")
-    return segments.join(places.select("part", "seq", (F.col("inside") + F.col("part_before")).alias("before")), ["part", "seq"])
+    places = segments.select("part", "seq", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("inside"))
+    return places.join(parts, "part").select("part", "seq", (F.col("inside") + F.col("part_before")).alias("before"))
 
 
 def document_digests(segments: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the segments' payloads."""
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the segments' payloads.
+
+    Payloads are decoded where they are read; only the documents' few numbers are shuffled.
+    """
+    names = ["part", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"]
 
     def digests(batches):
         for batch in batches:
-            for payload, before in zip(batch.column(0), batch.column(1).to_pylist()):
+            for part, seq, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 segment = Segment(payload.as_py())
                 ids = segment.tokens(0, segment.n_tokens).astype("<u4")
                 raw, starts = memoryview(ids.tobytes()), segment.starts
                 crcs = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(segment.doc_ids, pa.int64()), pa.array(starts[:-1] + before), pa.array(np.diff(starts)), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"]
-                )
+                same = [pa.array([k] * len(crcs), pa.int32()) for k in (part, seq)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(segment.doc_ids, pa.int64()), pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crcs, pa.int64())], names)
 
-    return segments.select("payload", "before").mapInArrow(digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = segments.select("part", "seq", "payload").mapInArrow(digests, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    return found.join(segment_starts(segments), ["part", "seq"]).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
