@@ -15,6 +15,7 @@ label 1 (0.5 without any label).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +39,7 @@ CALIBRATION_SHARE = 5
 HIDDEN = 32
 EPOCHS = 60
 CHUNK = 1 << 16
+BLOCK_ROWS = 64
 
 
 def _index(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,20 +93,35 @@ def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
 N_FEATURES = 3 * DIM + 3
 
 
+def _row_blocks(first: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges with about CHUNK units and at most BLOCK_ROWS rows."""
+    for low, high in W.row_chunks(first, CHUNK):
+        for at in range(low, high, BLOCK_ROWS):
+            yield at, min(at + BLOCK_ROWS, high)
+
+
 def features(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """One row of N_FEATURES pooled values per text."""
     units = W.hashed_words(texts, W.UNITS)
     out = np.zeros((len(units.first) - 1, N_FEATURES), np.float32)
-    for low, high in W.row_chunks(units.first, CHUNK):
+    for low, high in _row_blocks(units.first):
         first = units.first[low : high + 1] - units.first[low]
         h = units.hashes[units.first[low] : units.first[high]]
         if not len(h):
             continue
         n = np.maximum(np.diff(first), 1)[:, None].astype(np.float32)
         rows = np.repeat(np.arange(high - low), np.diff(first))
-        v = vectors[_slots(h)]
-        mean = W.segment_sums(v, first) / n
-        spread = np.sqrt(np.maximum(W.segment_sums(v * v, first) / n - mean * mean, 0))
+        # Sums over a text's units as counts times the vectors of the slots in use.
+        slots = _slots(h)
+        place = np.zeros(SLOTS, np.int64)
+        place[slots] = 1
+        used = np.flatnonzero(place)
+        place[used] = np.arange(len(used))
+        counts = np.bincount(rows * len(used) + place[slots], minlength=(high - low) * len(used))
+        shares = counts.reshape(high - low, len(used)).astype(np.float32) / n
+        v = vectors[used]
+        mean = shares @ v
+        spread = np.sqrt(np.maximum(shares @ (v * v) - mean * mean, 0))
         index = np.zeros((high - low) * DIM)
         for k in range(NONZERO):
             at, sign = _index(h, k)
