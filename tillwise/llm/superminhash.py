@@ -42,7 +42,7 @@ MISS = 1e-4
 #: Estimates this far below the threshold rule a pair out.
 MARGIN = 0.1
 #: Classes of a bucket that one task compares with as many others.
-BLOCK = 512
+BLOCK = 256
 #: Tasks that the rows of one bucket are spread over when they meet what is known of it.
 SALTS = 32
 #: Shingles sketched, and bytes of text cut, at a time.
