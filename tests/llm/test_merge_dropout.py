@@ -39,6 +39,20 @@ def test_dropout_varies_by_seed_and_not_by_run():
     assert len(encoded(text, 1.0)[0]) == len(text[0]) + 1  # every merge is skipped
 
 
+def test_each_occurrence_is_segmented_on_its_own():
+    """One word many times, in one text and over many: far more segmentations than a fixed few."""
+    word = "internationalisation"
+    cut = lambda text: {tuple(text[a:b]) for a, b in zip(*_unit_bounds(text))}
+    alone = {tuple(ids) for ids in encoded([word] * 2000, 0.1)}
+    assert len(alone) > 20 and len(cut(encoded([" ".join([word] * 2000)], 0.1)[0])) > 20
+
+
+def _unit_bounds(ids):
+    """Where the units of a text begin and end: at each piece that begins with the space sign."""
+    starts = [k for k, i in enumerate(ids) if LIBRARY.id_to_piece(i).startswith("▁")]
+    return starts, starts[1:] + [len(ids)]
+
+
 def test_rounds_equal_the_agenda(monkeypatch):
     texts = [prose(2, 200), "x" * 200, "ab" * 90]
     side_by_side = encoded(texts, 0.2)

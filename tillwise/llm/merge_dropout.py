@@ -2,14 +2,14 @@
 
 A merge-type model joins neighbouring symbols, best candidate first. Here each candidate merge that
 comes up on the agenda is skipped if a keyed hash of it falls below the dropout rate. The hash takes
-the seed, the unit of text (a run of spaces and what follows it), the unit's variant, and the place
-and size of the candidate. So a text always gets the same segmentation under one seed, and
-different ones under others. A unit has ``VARIANTS`` segmentations; its place in the text and the
-document's id choose one. At rate 0 the ids are those of the library's own encoder.
+the seed, the document's id, the unit of text (a run of spaces and what follows it), the unit's
+place in the text, and the place and size of the candidate. So a text always gets the same
+segmentation under one seed, and different ones under others, and each occurrence of a unit is
+segmented on its own. At rate 0 the ids are those of the library's own encoder.
 
-Pieces never hold a space behind another character, so units are independent, and each distinct
-(unit, variant) of a batch is segmented once, all of them side by side in numpy. Very long units
-use the agenda itself, a heap.
+Pieces never hold a space behind another character, so units are independent and are segmented
+side by side in numpy; at rate 0 each distinct unit of a batch once. Very long units use the agenda
+itself, a heap.
 
 Decoding is lossless: unknown characters, and the sign that stands for a space, become bytes.
 Null and empty texts have no ids; null decodes to null's stand-in, the empty text.
@@ -29,7 +29,6 @@ from tillwise.llm import words as W
 
 RATE = 0.1
 SEED = 2024
-VARIANTS = 4
 #: Units with more symbols than this go through the heap.
 LONG_UNIT = 256
 #: Bytes of text segmented at a time.
@@ -262,8 +261,7 @@ def encode_texts(pieces: Pieces, texts: pa.Array, keys: np.ndarray, rate: float
     if rate > 0:
         text = np.repeat(np.arange(len(first) - 1), np.diff(of_text))
         place = (np.arange(len(starts)) - of_text[:-1][text]).astype(np.uint64)
-        variant = W.seeded(keys.astype(np.uint64)[text] + W.mix(place), seed) % np.uint64(VARIANTS)
-        hashes = W.seeded(hashes ^ W.mix(variant + np.uint64(seed)), seed)
+        hashes = W.seeded(hashes ^ W.seeded(keys.astype(np.uint64)[text] + W.mix(place), seed), seed)
     units, once, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     raw, begins = gather(data, starts[once], ends[once] - starts[once])
     points = _code_points(raw.tobytes())
