@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import prose
@@ -70,6 +71,19 @@ def test_class_probabilities_sum_to_one(spark, documents):
     assert kept == len(toxic.word) - 1 and ((toxic.backoff >= 0) & (toxic.backoff <= 1)).all()
 
 
+def test_shared_counts_take_each_pair_once(documents):
+    """A pair that a thousand documents share is one continuation."""
+    slot = lambda word: int(X._slots(X.read_words(pa.array([word])).word)[0])
+    word, _ = X.shared_counts(documents(["follow this"] * 1000 + ["a many b many", "c many"]).repartition(7))
+    assert word[slot("many")] / word[slot("nowhere")] == pytest.approx(4, rel=1e-5)
+    assert word[slot("this")] / word[slot("nowhere")] == pytest.approx(2, rel=1e-5)
+
+
+@pytest.mark.parametrize("counts, want", [([1, 1, 1, 1, 2, 5], 4 / 6), ([1, 2, 2], 1 / 5), ([], 0.1)])
+def test_discounts_come_from_counts_of_counts(counts, want):
+    assert X.absolute_discount(np.array(counts)) == pytest.approx(want)
+
+
 def test_temperature_is_fitted_on_unseen_rows():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 4000)

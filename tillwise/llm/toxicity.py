@@ -5,13 +5,15 @@ Four levels of interpolated counts, each smoothed by the next through an absolut
 * word after word, in a class;
 * continuation counts of a word in a class: after how many different words it occurs there;
 * continuation counts of its stem (the first ``STEM`` bytes) in a class, for rare inflected forms;
-* continuation counts shared by both classes, gathered from *all* documents. Rare and unseen
-  expressions end here, where the classes do not differ.
+* continuation counts shared by both classes, gathered from *all* documents: each pair of words
+  counts once in the corpus. Rare and unseen expressions end here, where the classes do not differ.
+
+Each level's discount is n1 / (n1 + 2 n2), from its own counts of counts.
 
 A text's evidence is its log-likelihood under the toxic model less that under the ordinary one,
 divided by length: over the whole text and over its most toxic window of 1, 4 and 16 words, since
-one insult in a long text is enough. A logistic calibration turns it into a probability. Discounts
-and calibration come from labelled rows outside the counted sample.
+one insult in a long text is enough. A logistic calibration turns it into a probability; it comes
+from labelled rows outside the counted sample.
 
 Bounds: ``FIT_ROWS`` counted rows a class and ``CALIBRATION_ROWS`` calibration rows (labels are
 learned from nothing else), ``SHARED_SLOTS`` hashed cells for the shared counts. What the driver
@@ -26,12 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm import words as W
-from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, tree_sum
+from tillwise.llm.tables import held_out
 
 #: Labelled rows counted for each class, in hash order.
 FIT_ROWS = 2_000
@@ -39,12 +40,9 @@ FIT_ROWS = 2_000
 CALIBRATION_ROWS = 4_000
 CALIBRATION_SHARE = 5
 SHARED_SLOTS = 1 << 20
-BLOCKS = 32
 CHUNK = 1 << 18
 STEM = 5
 WINDOWS = (1, 4, 16)
-#: Candidate discounts (word after word, word and stem); the calibration rows decide.
-DISCOUNTS = tuple((pair, word) for pair in (2.0, 8.0, 32.0) for word in (1.0, 3.0, 6.0))
 #: The context of a text's first word.
 START = np.uint64(0x5851F42D4C957F2D)
 
@@ -79,25 +77,25 @@ def _slots(word: np.ndarray) -> np.ndarray:
 
 
 def shared_counts(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Of hashed words and of hashed stems: words they follow, once per document, in all documents."""
-    texts = documents.select("text")
+    """Shares of hashed words and of hashed stems in the distinct pairs of all documents.
 
-    def partial(batches):
-        total = np.zeros((2, SHARED_SLOTS), np.int32)
+    A pair counts once, however many documents hold it: the pairs are made distinct before they
+    are counted.
+    """
+
+    def pairs(batches):
         for batch in W.pieces(batches):
             text = read_words(batch.column(0))
-            rows = np.repeat(np.arange(len(text.first) - 1, dtype=np.uint64), np.diff(text.first))
-            for low, high in W.row_chunks(text.first, CHUNK):
-                part = slice(text.first[low], text.first[high])
-                key = W.seeded(pair_hash(text.before[part], text.word[part]) ^ (rows[part] * np.uint64(0x9E3779B97F4A7C15)), 3)
-                _, once = np.unique(key, return_index=True)
-                np.add.at(total[0], _slots(text.word[part][once]), 1)
-                np.add.at(total[1], _slots(text.stem[part][once]), 1)
-        for part, block, payload in block_rows(TaskContext.get().partitionId(), total, BLOCKS):
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([block], pa.int32()), pa.array([payload], pa.binary())], ["part", "block", "payload"])
-
-    sums = tree_sum(texts.mapInArrow(partial, SUM_SCHEMA), texts.rdd.getNumPartitions(), 2 * SHARED_SLOTS, BLOCKS, np.int32)
-    word, stem = sums.reshape(2, SHARED_SLOTS) + 1.0
+            _, once = np.unique(pair_hash(text.before, text.word), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x[once].view(np.int64)) for x in (text.before, text.word, text.stem)], ["before", "word", "stem"])
+
+    once = documents.select("text").mapInArrow(pairs, "before long, word long, stem long").distinct()
+    slot = lambda name: F.pmod(F.shiftrightunsigned(name, 17), F.lit(SHARED_SLOTS))  # noqa: E731  as _slots
+    cells = F.explode(F.array(slot("word"), slot("stem") + SHARED_SLOTS)).alias("cell")
+    found = once.select(cells).groupBy("cell").count().toArrow()
+    sums = np.ones(2 * SHARED_SLOTS)
+    sums[found["cell"].to_numpy()] += found["count"].to_numpy()
+    word, stem = sums.reshape(2, SHARED_SLOTS)
     return (word / word.sum()).astype(np.float32), (stem / stem.sum()).astype(np.float32)
 
 
@@ -165,34 +163,33 @@ def _discounted(counts: np.ndarray, discount: float) -> tuple[np.ndarray, float]
     return left.astype(np.float32), 1 - float(left.sum())
 
 
-def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray, stem: np.ndarray, counts: np.ndarray, kept: np.ndarray, discounts: tuple[float, float]) -> ClassModel:
-    """before, word, stem: places of all pairs' parts in the lexicon; kept: places of its pairs."""
-    of_pair, of_word = discounts
+def absolute_discount(counts: np.ndarray) -> float:
+    """n1 / (n1 + 2 n2), where nk counts the entries of count k; some share is always left to the rest."""
+    once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+    return max(once / max(once + 2 * twice, 1), 0.1)
+
+
+def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray, stem: np.ndarray, counts: np.ndarray, order: np.ndarray) -> ClassModel:
+    """before, word, stem: places of all pairs' parts in the lexicon; order: the pairs as the lexicon lists them."""
     there = counts > 0
+    of_pair = absolute_discount(counts)
     context = np.bincount(before, counts, n_words)
     taken = np.bincount(before, np.minimum(counts, of_pair), n_words)
-    pair = np.append(np.maximum(counts[kept] - of_pair, 0) / np.maximum(context[before[kept]], 1), 0).astype(np.float32)
+    pair = np.append(np.maximum(counts[order] - of_pair, 0) / np.maximum(context[before[order]], 1), 0).astype(np.float32)
     backoff = np.append(np.where(context > 0, taken / np.maximum(context, 1), 1), 1).astype(np.float32)
-    return ClassModel(
-        pair,
-        backoff,
-        *_discounted(np.bincount(word[there], minlength=n_words), of_word),
-        *_discounted(np.bincount(stem[there], minlength=n_stems), of_word),
-    )
+    words, stems = np.bincount(word[there], minlength=n_words), np.bincount(stem[there], minlength=n_stems)
+    return ClassModel(pair, backoff, *_discounted(words, absolute_discount(words)), *_discounted(stems, absolute_discount(stems)))
 
 
 def fit_classes(counted: pa.Table) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
-    """Both classes' models for each pair of DISCOUNTS, from the counts of pairs."""
+    """Both classes' models from the counts of pairs."""
     keys = {c: counted[c].to_numpy().view(np.uint64) for c in ("before", "word", "stem")}
     words, stems = np.unique(np.concatenate([keys["before"], keys["word"]])), np.unique(keys["stem"])
     places = [np.searchsorted(listed, keys[c]).astype(np.int32) for c, listed in (("before", words), ("word", words), ("stem", stems))]
-    counts = [counted[c].to_numpy() for c in ("toxic", "ordinary")]
-    # A pair that no discount leaves anything of has no entry; it still counts for its context.
-    kept = np.flatnonzero(np.maximum(*counts) > min(of_pair for of_pair, _ in DISCOUNTS))
-    pairs = pair_hash(keys["before"][kept], keys["word"][kept])
-    kept, pairs = kept[np.argsort(pairs)], np.sort(pairs)
-    classes = [tuple(class_model(len(words), len(stems), *places, c, kept, discounts) for c in counts) for discounts in DISCOUNTS]
-    return without_idle(Lexicon(pairs, words, stems), classes)
+    pairs = pair_hash(keys["before"], keys["word"])
+    order = np.argsort(pairs)
+    both = tuple(class_model(len(words), len(stems), *places, counted[c].to_numpy(), order) for c in ("toxic", "ordinary"))
+    return without_idle(Lexicon(pairs[order], words, stems), [both])
 
 
 def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]]) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
@@ -211,7 +208,7 @@ def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]])
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
-    #: (toxic, ordinary) for each pair of discounts.
+    #: (toxic, ordinary).
     classes: list[tuple[ClassModel, ClassModel]]
     shared: tuple[np.ndarray, np.ndarray]
     weights: np.ndarray
@@ -255,7 +252,7 @@ def _spans(ratio: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
-    """Newton steps for a logistic regression with a small ridge on all but the constant."""
+    """Newton steps, halved until the loss falls, for a logistic regression with a small ridge on all but the constant."""
     share = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
     weights = np.zeros(x.shape[1])
     weights[0] = np.log(share / (1 - share))
@@ -263,10 +260,14 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarr
         return weights
     ridge = np.full(x.shape[1], penalty)
     ridge[0] = 1e-6
+    loss = lambda w: float(np.sum(np.logaddexp(0, x @ w) - y * (x @ w)) + (ridge * w * w).sum() / 2)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * weights)
-        weights += np.clip(step, -5, 5)
+        step = np.clip(step, -5, 5)
+        while loss(weights + step) > loss(weights) and np.abs(step).max() >= 1e-8:
+            step = step / 2
+        weights += step
         if np.abs(step).max() < 1e-8:
             break
     return weights
@@ -306,10 +307,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     sent.unpersist()
     inputs = np.array(seen["inputs"].to_pylist(), float).reshape(len(seen), len(classes), 3 + len(WINDOWS))
     y = seen["label"].to_numpy()
-    fits = [fit_logistic(inputs[:, k], y) for k in range(len(classes))]
-    losses = [float(np.mean(np.logaddexp(0, inputs[:, k] @ w) - y * (inputs[:, k] @ w))) if len(y) else 0.0 for k, w in enumerate(fits)]
-    best = int(np.argmin(losses))
-    return ToxicityModel(*without_idle(lexicon, [classes[best]]), shared, fits[best])
+    return ToxicityModel(lexicon, classes, shared, fit_logistic(inputs[:, 0], y))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
