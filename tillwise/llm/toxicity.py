@@ -35,11 +35,11 @@ from tillwise.llm import words as W
 from tillwise.llm.tables import held_out
 
 #: Labelled rows counted for each class, in hash order.
-FIT_ROWS = 2_000
+FIT_ROWS = 4_000
 #: Labelled rows of the calibration, in hash order, apart from the counted ones.
 CALIBRATION_ROWS = 4_000
 CALIBRATION_SHARE = 5
-SHARED_SLOTS = 1 << 20
+SHARED_SLOTS = 1 << 21
 CHUNK = 1 << 18
 STEM = 5
 WINDOWS = (1, 4, 16)
