@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -58,6 +60,21 @@ def test_known_forms(run, known):
     assert S.is_known_form(run) == known
 
 
+@pytest.mark.parametrize(
+    "alphabet, groups, least",
+    [(string.ascii_letters, 1, 0.99), (string.ascii_uppercase, 1, 0.95), (string.ascii_lowercase, 1, 0.9), (string.ascii_uppercase + string.digits, 5, 0.99), (string.ascii_letters + string.digits, 5, 0.99)],
+)
+def test_letters_only_and_grouped_keys_are_random(alphabet, groups, least):
+    encoding, rng = S._encoding(public_tokenizers.path("byte_bpe_50k.tiktoken")), random.Random(4)
+    keys = ["-".join("".join(rng.choices(alphabet, k=32 if groups == 1 else 5)) for _ in range(groups)) for _ in range(1000)]
+    assert sum(S.is_random(key, encoding) for key in keys) >= least * len(keys)
+
+
+@pytest.mark.parametrize("run", ["internationalisation-of-names-2", "getUserAccountInformation", "HAVE_NCURSES_PANEL_H", "_calc_julian_from_U_or_W", "path/to/some/other/place", "Einungtzheitgeungverlich"])
+def test_names_are_not_random(run):
+    assert not S.is_random(run, S._encoding(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
 def test_redaction(odd_documents, documents):
     docs = documents(["say token=abcdef123 now", None, "plain"])
     clean = S.redact_secrets(docs).orderBy("doc_id").collect()

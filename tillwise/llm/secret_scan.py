@@ -2,8 +2,9 @@
 
 Prose costs a byte-level vocabulary one token for three characters or more; random strings cost
 one for less than two. A run of code characters with a low ratio of characters to tokens is taken
-for a secret, unless it looks like a digest, a UUID, a date, a number or an identifier made of
-words. Three fixed kinds come first and always stay: assignments to secret names, access keys and
+for a secret, unless it looks like a digest, a UUID, a date or a number. An identifier made of words
+and separators must have a still lower ratio. Runs of letters only are judged like others, and so
+are four or more groups of equal length, as keys are dealt in. Three fixed kinds come first and always stay: assignments to secret names, access keys and
 long hexadecimal runs. The method adds spans of kind ``random`` where none of them lies.
 
 Spans are (kind, start, end) in code points, end exclusive. Null texts have none.
@@ -32,6 +33,10 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST, RUN_LEAST = 6, 20, 24, 20
 
 #: Characters per token below which a run counts as random.
 RATIO = 1.9
+#: The same for identifiers made of words and separators.
+IDENTIFIER_RATIO = 1.45
+#: So many parts of one length are the groups of a key.
+KEY_GROUPS = 4
 #: Hexadecimal digits of the usual digests (MD5, SHA-1, SHA-2).
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ANY_CASE = re.compile(r"[0-9a-fA-F]+")
@@ -74,20 +79,30 @@ def _encoding(path: str):
     return _encodings[path]
 
 
-def is_known_form(run: str) -> bool:
-    """Digests, UUIDs, numbers and dates, and identifiers made of words and short numbers."""
+def is_fixed_form(run: str) -> bool:
+    """Digests, UUIDs, numbers and dates."""
     if _HEX_ANY_CASE.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
-    if _NAMED_DIGEST.fullmatch(run) or _UUID.fullmatch(run) or _NUMBERS.fullmatch(run):
-        return True
-    if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-        return True
-    parts = re.split(r"[_/=+-]+", run)
-    return len(parts) > 1 and all(_WORDY.fullmatch(p) for p in parts if p)
+    return bool(_NAMED_DIGEST.fullmatch(run) or _UUID.fullmatch(run) or _NUMBERS.fullmatch(run))
+
+
+def is_identifier(run: str) -> bool:
+    """Words, single letters and short numbers between separators, not in groups of one length."""
+    parts = [p for p in re.split(r"[_/=+-]+", run) if p]
+    if len(parts) >= KEY_GROUPS and len({len(p) for p in parts}) == 1:
+        return False
+    return len(parts) > 1 and all(_WORDY.fullmatch(p) or len(p) == 1 for p in parts)
+
+
+def is_known_form(run: str) -> bool:
+    """Digests, UUIDs, numbers and dates, and identifiers made of words and short numbers."""
+    return is_fixed_form(run) or is_identifier(run)
 
 
 def is_random(run: str, encoding) -> bool:
-    return not is_known_form(run) and len(run) < RATIO * len(encoding.encode_ordinary(run))
+    if is_fixed_form(run):
+        return False
+    return len(run) < (IDENTIFIER_RATIO if is_identifier(run) else RATIO) * len(encoding.encode_ordinary(run))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
