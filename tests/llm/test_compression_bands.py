@@ -1,8 +1,11 @@
 import os
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
+import zstandard
 
 from tests.llm.conftest import ODD_TEXTS, prose
 from tillwise.llm import compression_bands as C
@@ -41,6 +44,15 @@ def test_verdicts(documents):
     assert kept == [True, True, False, False, True]
 
 
+@pytest.mark.parametrize("alphabet, sizes", [(string.ascii_letters + string.digits + "+/", (260, 500, 1000, 4000, 30_000)), (string.ascii_lowercase, (1300, 2000, 4000, 30_000))])
+@pytest.mark.parametrize("group", [4, 5, 8])
+def test_random_characters_are_out_of_band(alphabet, sizes, group):
+    rng, compressor = random.Random(2), zstandard.ZstdCompressor(level=C.LEVEL)
+    for size in sizes:
+        text = " ".join("".join(rng.choices(alphabet, k=group)) for _ in range(size // (group + 1)))
+        assert not C.compression(text.encode(), compressor)[3], size
+
+
 def test_bands_and_chunks():
     assert C.chunk_ends(1) == [1]
     assert C.chunk_ends(C.CHUNK_BYTES + 10) == [C.CHUNK_BYTES + 10]
