@@ -48,3 +48,16 @@ def test_spark(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (None, "u", "<b>b"), (2, None, None), (1, "u", "<p>a")], "page_id long, url string, html string").selectExpr("*", "'clash' AS text")
     assert sorted((r.page_id or 0, r.text) for r in H.extract_text(pages).collect()) == [(0, "b"), (1, "a"), (1, "a"), (2, "")]
     assert H.extract_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/><annotation>no</annotation></math> b", "a x=2 b"),
+        ("<p>a<svg><title>no</title><defs><text>no</text></defs>" + "<path d='M0'/>" * 400 + "<text>one</text><text>two</text></svg>b", "a\none\ntwo\nb"),
+        ("<select><optgroup label=Fruit><option>Apple<option>Pear</select>z", "Fruit\nApple\nPear\nz"),
+        ("<object data=x>instead</object>", "instead"),
+    ],
+)
+def test_visible_elements_come_out(page, want):
+    assert H.render(page) == want

@@ -8,8 +8,9 @@ line around paragraphs and headings; list items get a dash or a number and an in
 of one row share a line, padded so that columns line up.
 
 Not visible: head, script, style, template and the like, comments, elements with ``hidden``,
-``aria-hidden="true"`` or an inline style that hides them, and hidden inputs. Image texts (``alt``)
-are visible.
+``aria-hidden="true"`` or an inline style that hides them, hidden inputs, and what is typed into a
+``textarea``. Image texts (``alt``), formulas, texts of drawings, the options of a choice and what
+stands in for an ``object`` are visible.
 
 Null and empty pages give the empty text. Unclosed or crossed tags never fail; nesting beyond
 ``MOST_DEPTH`` is flattened, its text kept.
@@ -29,15 +30,20 @@ MOST_DEPTH = 256
 
 # The element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INVISIBLE = frozenset("head script style template noscript title svg math object iframe audio video canvas datalist select textarea".split())
+INVISIBLE = frozenset(
+    "head script style template noscript title iframe audio video canvas datalist textarea"
+    " defs desc metadata symbol clippath mask annotation annotation-xml".split()
+)
+#: Inside these a start tag may close itself.
+FOREIGN = frozenset("svg math".split())
 RAW_TEXT = frozenset("script style textarea title noscript iframe".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form"
-    " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
+    " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody text tfoot thead tr ul".split()
 )
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul menu".split())
 #: An open p ends before each of these.
-ENDS_P = BLOCKS - frozenset("body caption dd dt html legend li summary tbody tfoot thead tr".split())
+ENDS_P = BLOCKS - frozenset("body caption dd dt html legend li optgroup option summary tbody text tfoot thead tr".split())
 #: A start tag ends open elements of the second group, up to one of the third.
 IMPLIED_ENDS = {
     "li": ("li", ("ul", "ol", "menu")),
@@ -119,7 +125,7 @@ class TreeBuilder:
         if tag in ("td", "th") and self.open[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self._push(Element("tr"))
         element = Element(tag, _attributes(rest))
-        if tag in VOID:
+        if tag in VOID or (rest.endswith("/") and any(e.tag in FOREIGN for e in self.open)):
             self.open[-1].children.append(element)
         else:
             self._push(element)
@@ -265,6 +271,10 @@ class Renderer:
             self.indent += "  "
             self.block(element, tag in SPACED)
             self.indent = self.indent[:-2]
+        elif tag == "optgroup":
+            self.break_line()
+            self.text(element.attributes.get("label", ""))
+            self.block(element, False)
         elif tag in BLOCKS:
             self.block(element, tag in SPACED)
         else:
