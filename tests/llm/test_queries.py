@@ -22,6 +22,11 @@ COLUMNS = {
     "op7_secret_scan": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
     "op8_token_codes": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op9_quality_classifier": SCORES,
+    "op11_alignment": {
+        "doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint",
+        "count_sum": "bigint", "groups_sha256": "string",
+    },
+    "op13_prefix_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
     "op5_html_layout": {"page_id": "bigint", "text": "string"},
     "op10_link_graph": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
 }
