@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 from tillwise.llm.words import pieces
 
 #: (log2 of bytes, least ratio, greatest ratio); between the points the limits are interpolated.
-#: The greatest ratio lies 0.017 or more above that of clean prose: texts of sf0.1 with quality 1 that
-#: are not held out, and their beginnings of 200 to 6,000 bytes.
+#: They follow clean prose: texts of sf0.1 with quality 1 that are not held out and pass the base rules, their
+#: beginnings of 200 to 9,000 bytes and their chunks. In each half octave the least ratio lies 0.007 or more
+#: below the least of these (0.02 or more from 2^13 bytes on, where they are few), the greatest 0.015 or more
+#: above their greatest. Beyond 2^15 bytes, where none is that long, the lower limit goes on falling.
 BANDS = (
-    (0, 0.0, 99.0), (7, 0.42, 0.92), (7.5, 0.42, 0.88), (8, 0.42, 0.85), (8.5, 0.41, 0.80), (9, 0.40, 0.74), (9.5, 0.39, 0.68), (10, 0.38, 0.62),
-    (10.5, 0.37, 0.58), (11, 0.36, 0.56), (11.5, 0.35, 0.54), (12, 0.34, 0.53), (14, 0.31, 0.53), (17, 0.26, 0.53),
+    (0, 0.0, 99.0), (7, 0.64, 0.92), (7.5, 0.633, 0.88), (8, 0.586, 0.85), (8.5, 0.537, 0.80), (9, 0.532, 0.74), (9.5, 0.513, 0.70),
+    (10, 0.486, 0.62), (10.5, 0.468, 0.58), (11, 0.452, 0.55), (11.5, 0.441, 0.535), (12, 0.425, 0.503), (12.5, 0.415, 0.487),
+    (13, 0.405, 0.474), (13.5, 0.395, 0.465), (14, 0.385, 0.456), (14.5, 0.375, 0.448), (15, 0.367, 0.448), (17, 0.335, 0.448), (20, 0.300, 0.448),
 )
 #: Bytes of a chunk; a last piece shorter than half of it is joined to the one before.
 CHUNK_BYTES = 4096
