@@ -1,45 +1,55 @@
 """Toxicity: class-conditional Kneser-Ney models, toxic against ordinary.
 
-Four levels of interpolated counts, each smoothed by the next through an absolute discount:
+One chain of levels, each smoothed by the next through an absolute discount n1 / (n1 + 2 n2) from its
+own counts of counts, and each summing to one over the words of the corpus:
 
 * word after word, in a class;
 * continuation counts of a word in a class: after how many different words it occurs there;
 * continuation counts of its stem (the first ``STEM`` bytes) in a class, for rare inflected forms;
-* continuation counts shared by both classes, gathered from *all* documents: each pair of words
-  counts once in the corpus. Rare and unseen expressions end here, where the classes do not differ.
-
-Each level's discount is n1 / (n1 + 2 n2), from its own counts of counts.
+* the shared level, from *all* documents: a stem's share of all distinct pairs of words, and a
+  word's share of its stem's. A pair counts once in the corpus, however many documents hold it.
+  Rare and unseen expressions end here, where the classes do not differ.
 
 A text's evidence is its log-likelihood under the toxic model less that under the ordinary one,
 divided by length: over the whole text and over its most toxic window of 1, 4 and 16 words, since
 one insult in a long text is enough. A logistic calibration turns it into a probability; it comes
 from labelled rows outside the counted sample.
 
-Bounds: ``FIT_ROWS`` counted rows a class and ``CALIBRATION_ROWS`` calibration rows (labels are
-learned from nothing else), ``SHARED_SLOTS`` hashed cells for the shared counts. What the driver
-holds and broadcasts depends on these only. Null and empty texts have no words; their score is
-that of the calibration at zero evidence. Without both labels every score is the share of label 1.
+Shared shares of words and stems that neither class has counted stand in both likelihoods alike and
+fall out of their difference. So only those of counted words and stems are sent to the tasks, though
+all distinct pairs are counted for them (``shared_counts``).
+
+Bounds: ``FIT_ROWS`` counted rows a class, in hash order and as long as their texts hold no more than
+``FIT_BYTES``, and ``CALIBRATION_ROWS`` calibration rows; labels are learned from nothing else. What
+the driver holds and broadcasts depends on these only. Null and empty texts have no words; their
+score is that of the calibration at zero evidence. Without both labels every score is the share of
+label 1. A null id is scored like any other; its held_out is null, as it has no crc32.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm import words as W
-from tillwise.llm.tables import held_out
+from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, pack, tree_sum, unpack
 
-#: Labelled rows counted for each class, in hash order.
+#: Labelled rows counted for each class, in hash order, and the most bytes of text they may hold.
 FIT_ROWS = 4_000
+FIT_BYTES = 64 << 20
 #: Labelled rows of the calibration, in hash order, apart from the counted ones.
 CALIBRATION_ROWS = 4_000
 CALIBRATION_SHARE = 5
-SHARED_SLOTS = 1 << 21
+#: Distinct pairs a task holds before it sends them on.
+HELD_PAIRS = 4_000_000
+#: Bits of a pair's name beside its bucket and its word or stem.
+PAIR_BITS = 40
+COUNT_BLOCKS = 16
 CHUNK = 1 << 18
 STEM = 5
 WINDOWS = (1, 4, 16)
@@ -72,31 +82,75 @@ def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return W.mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + word)
 
 
-def _slots(word: np.ndarray) -> np.ndarray:
-    return (word >> np.uint64(17)).astype(np.int64) % SHARED_SLOTS
-
+def shared_counts(documents: DataFrame, words: np.ndarray, stems: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct (before, word) pairs of all documents: of each listed word, of the other words of each listed stem, and all.
 
-def shared_counts(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of hashed words and of hashed stems in the distinct pairs of all documents.
-
-    A pair counts once, however many documents hold it: the pairs are made distinct before they
-    are counted.
+    ``words`` and ``stems`` are sorted hashes. Tasks make their pairs distinct, deal them into buckets by
+    the pair's hash (so no word is a hot key) and send each bucket as one payload: the listed word, else
+    the listed stem, each pair belongs to, with 40 more bits of its hash. A bucket's payloads are
+    made distinct together; there are as many buckets as the documents have partitions.
     """
+    tasks = documents.rdd.getNumPartitions()
+    buckets, kinds = max(tasks, 8), 1 + len(stems) + len(words)
+    cells = -(-kinds // COUNT_BLOCKS) * COUNT_BLOCKS
+    listed = documents.sparkSession.sparkContext.broadcast((words, stems))
+
+    def payloads(held: list[np.ndarray]):
+        kind, pair = (np.concatenate(c) for c in zip(*held))
+        _, once = np.unique(pair, return_index=True)
+        kind, pair = kind[once], pair[once]
+        bucket = (pair % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket * kinds + kind, kind="stable")  # pairs stay sorted within
+        kind, pair, bucket = kind[order], pair[order], bucket[order]
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([pack_pairs(kind[cuts[k] : cuts[k + 1]], pair[cuts[k] : cuts[k + 1]])], pa.binary())], ["bucket", "payload"])
 
     def pairs(batches):
+        held, size = [], 0
+        words, stems = listed.value
         for batch in W.pieces(batches):
             text = read_words(batch.column(0))
-            _, once = np.unique(pair_hash(text.before, text.word), return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x[once].view(np.int64)) for x in (text.before, text.word, text.stem)], ["before", "word", "stem"])
-
-    once = documents.select("text").mapInArrow(pairs, "before long, word long, stem long").distinct()
-    slot = lambda name: F.pmod(F.shiftrightunsigned(name, 17), F.lit(SHARED_SLOTS))  # noqa: E731  as _slots
-    cells = F.explode(F.array(slot("word"), slot("stem") + SHARED_SLOTS)).alias("cell")
-    found = once.select(cells).groupBy("cell").count().toArrow()
-    sums = np.ones(2 * SHARED_SLOTS)
-    sums[found["cell"].to_numpy()] += found["count"].to_numpy()
-    word, stem = sums.reshape(2, SHARED_SLOTS)
-    return (word / word.sum()).astype(np.float32), (stem / stem.sum()).astype(np.float32)
+            pair, once = np.unique(pair_hash(text.before, text.word), return_index=True)
+            stem, word = _find(stems, text.stem[once]), _find(words, text.word[once])
+            kind = np.where(word < len(words), 1 + len(stems) + word, np.where(stem < len(stems), 1 + stem, 0))
+            held.append((kind, pair))
+            size += len(pair)
+            if size >= HELD_PAIRS:
+                yield from payloads(held)
+                held, size = [], 0
+        if held:
+            yield from payloads(held)
+
+    def counted(table: pa.Table) -> pa.Table:
+        keys = np.unique(np.concatenate([unpack_pairs(p.as_py()) for p in table.column("payload")]))
+        counts = np.bincount((keys >> np.uint64(PAIR_BITS)).astype(np.int64), minlength=cells)
+        rows = list(block_rows(table.column("bucket")[0].as_py(), counts.astype(np.int64), COUNT_BLOCKS))
+        columns = zip(*rows)
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.binary()))], ["part", "block", "payload"])
+
+    sent = documents.select("text").mapInArrow(pairs, "bucket int, payload binary")
+    counts = tree_sum(sent.groupBy("bucket").applyInArrow(counted, SUM_SCHEMA), buckets, cells, COUNT_BLOCKS, np.int64)[:kinds]
+    listed.unpersist()
+    return counts[1 + len(stems) :], counts[1 : 1 + len(stems)], int(counts.sum())
+
+
+def pack_pairs(kind: np.ndarray, pair: np.ndarray) -> bytes:
+    """Pairs sorted by kind: the kinds, how many pairs each has, and the last 40 bits but the bucket's of each pair."""
+    kinds, counts = np.unique(kind, return_counts=True)
+    head = pack(np.concatenate([np.diff(kinds, prepend=0), counts]).astype(np.uint32))
+    bits = (pair >> np.uint64(64 - PAIR_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : PAIR_BITS // 8]
+    return len(head).to_bytes(4, "little") + head + bits.tobytes()
+
+
+def unpack_pairs(payload: bytes) -> np.ndarray:
+    """kind * 2^40 + bits of every pair."""
+    size = int.from_bytes(payload[:4], "little")
+    kinds, counts = unpack(payload[4 : 4 + size], np.uint32).astype(np.int64).reshape(2, -1)
+    bits = np.frombuffer(payload, np.uint8, offset=4 + size).reshape(-1, PAIR_BITS // 8)
+    wide = np.zeros((len(bits), 8), np.uint8)
+    wide[:, : PAIR_BITS // 8] = bits
+    return (np.repeat(np.cumsum(kinds), counts).astype(np.uint64) << np.uint64(PAIR_BITS)) | wide.view("<u8").reshape(-1)
 
 
 def pair_counts(sample: DataFrame) -> pa.Table:
@@ -128,16 +182,33 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """Sorted hashes of the sample's pairs, words and stems, and how the pairs refer to the rest."""
+    """Sorted hashes of the sample's pairs, words and stems, and the shared shares of the words and stems.
+
+    The last entry of a share is for what the sample does not hold; there it is the same for both
+    classes, and 1 stands for it.
+    """
 
     pairs: np.ndarray
     words: np.ndarray
     stems: np.ndarray
+    #: Of each word, its stem's place among the stems (their number: none).
+    stem_of_word: np.ndarray
+    #: A word's share of its stem's distinct pairs, and a stem's share of all.
+    word_share: np.ndarray
+    stem_share: np.ndarray
 
     def places(self, text: Text, part: slice) -> tuple[np.ndarray, ...]:
         word, before, stem = text.word[part], text.before[part], text.stem[part]
         return _find(self.pairs, pair_hash(before, word)), _find(self.words, before), _find(self.words, word), _find(self.stems, stem)
 
+    def shared_with(self, documents: DataFrame) -> Lexicon:
+        """The lexicon with shares counted over all documents."""
+        of_word, others, total = shared_counts(documents, self.words, self.stems)
+        known = self.stem_of_word < len(self.stems)
+        of_stem = others + np.bincount(self.stem_of_word[known], of_word[known], len(self.stems)).astype(np.int64)
+        in_stem = np.where(known, of_word / np.maximum(np.append(of_stem, 0)[self.stem_of_word], 1), 1)
+        return replace(self, word_share=np.append(in_stem, 1.0), stem_share=np.append(of_stem / max(total, 1), 1.0))
+
 
 @dataclass
 class ClassModel:
@@ -150,10 +221,10 @@ class ClassModel:
     stem: np.ndarray
     stem_rest: float
 
-    def probability(self, pair, before, word, stem, shared_word, shared_stem) -> np.ndarray:
-        of_stem = self.stem[stem] + self.stem_rest * shared_stem
-        of_word = self.word[word] + self.word_rest * of_stem * shared_word / np.maximum(shared_stem, shared_word)
-        return self.pair[pair] + self.backoff[before] * of_word
+    def probability(self, pair, before, word, stem, word_share, stem_share) -> np.ndarray:
+        """Of words after words, given the shared shares of the words in their stems and of the stems."""
+        of_stem = self.stem[stem] + self.stem_rest * stem_share
+        return self.pair[pair] + self.backoff[before] * (self.word[word] + self.word_rest * of_stem * word_share)
 
 
 def _discounted(counts: np.ndarray, discount: float) -> tuple[np.ndarray, float]:
@@ -189,7 +260,10 @@ def fit_classes(counted: pa.Table) -> tuple[Lexicon, list[tuple[ClassModel, Clas
     pairs = pair_hash(keys["before"], keys["word"])
     order = np.argsort(pairs)
     both = tuple(class_model(len(words), len(stems), *places, counted[c].to_numpy(), order) for c in ("toxic", "ordinary"))
-    return without_idle(Lexicon(pairs[order], words, stems), [both])
+    stem_of_word = np.full(len(words), len(stems))
+    stem_of_word[places[1]] = places[2]
+    nothing = np.ones(1)
+    return without_idle(Lexicon(pairs[order], words, stems, stem_of_word, nothing, nothing), [both])
 
 
 def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]]) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
@@ -202,7 +276,9 @@ def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]])
         stems |= m.stem[:-1] > 0
     keep = lambda values, mask: np.append(values[:-1][mask], values[-1])
     small = lambda m: ClassModel(keep(m.pair, pairs), keep(m.backoff, words), keep(m.word, words), m.word_rest, keep(m.stem, stems), m.stem_rest)
-    return Lexicon(lexicon.pairs[pairs], lexicon.words[words], lexicon.stems[stems]), [tuple(map(small, both)) for both in classes]
+    new_place = np.append(np.where(stems, np.cumsum(stems) - 1, stems.sum()), stems.sum())  # of each stem, and of none
+    kept = replace(lexicon, pairs=lexicon.pairs[pairs], words=lexicon.words[words], stems=lexicon.stems[stems], stem_of_word=new_place[lexicon.stem_of_word[words]])
+    return kept, [tuple(map(small, both)) for both in classes]
 
 
 @dataclass
@@ -210,7 +286,6 @@ class ToxicityModel:
     lexicon: Lexicon
     #: (toxic, ordinary).
     classes: list[tuple[ClassModel, ClassModel]]
-    shared: tuple[np.ndarray, np.ndarray]
     weights: np.ndarray
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
@@ -222,8 +297,8 @@ class ToxicityModel:
         for low, high in W.row_chunks(text.first, CHUNK):
             first = text.first[low : high + 1] - text.first[low]
             part = slice(text.first[low], text.first[high])
-            shared = (self.shared[0][_slots(text.word[part])], self.shared[1][_slots(text.stem[part])])
             places = self.lexicon.places(text, part)
+            shared = self.lexicon.word_share[places[2]], self.lexicon.stem_share[places[3]]
             for k, (toxic, ordinary) in enumerate(self.classes):
                 out[low:high, k, 1:-1] = _spans(np.log(toxic.probability(*places, *shared) / ordinary.probability(*places, *shared)), first)
         return out
@@ -290,12 +365,20 @@ def _chosen(labels: DataFrame, label: str, counted_rows: int, calibration_rows:
     )
 
 
+def _within(sample: DataFrame, most_bytes: int) -> DataFrame:
+    """The sample's rows, of each class as many in hash order as hold no more text than that."""
+    so_far = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return sample.withColumn("held", F.sum(size).over(so_far)).where(F.col("held") <= most_bytes).drop("held")
+
+
 def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> ToxicityModel:
     chosen = F.broadcast(_chosen(labels, label, rows, calibration_rows))
     sample = documents.select("doc_id", "text").join(chosen, "doc_id")
-    shared = shared_counts(documents)
-    lexicon, classes = fit_classes(pair_counts(sample.where(~F.col("calibrates")).select("text", "label")))
-    model = ToxicityModel(lexicon, classes, shared, np.zeros(0))
+    counted = _within(sample.where(~F.col("calibrates")), FIT_BYTES)
+    lexicon, classes = fit_classes(pair_counts(counted.select("text", "label")))
+    lexicon = lexicon.shared_with(documents)
+    model = ToxicityModel(lexicon, classes, np.zeros(0))
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def evidence(batches):
@@ -307,7 +390,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
     sent.unpersist()
     inputs = np.array(seen["inputs"].to_pylist(), float).reshape(len(seen), len(classes), 3 + len(WINDOWS))
     y = seen["label"].to_numpy()
-    return ToxicityModel(lexicon, classes, shared, fit_logistic(inputs[:, 0], y))
+    return ToxicityModel(lexicon, classes, fit_logistic(inputs[:, 0], y))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
