@@ -1,7 +1,9 @@
 """Toxicity and quality: held-out accuracy, bounds, odd rows."""
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,7 @@ import pytest
 from tests.llm.conftest import prose
 from tillwise.llm import quality_classifier as Q
 from tillwise.llm import toxicity as X
+from tillwise.llm import words as W
 
 INSULTS = ["blork", "snarv", "zilt"]
 
@@ -30,10 +33,19 @@ def _labelled(spark, documents, label):
     return documents(texts), labels, np.array(marks)
 
 
-@pytest.mark.parametrize("label, fit, score, threshold", [("toxic", X.fit_toxicity, X.score_toxicity, 0.5), ("quality", Q.fit_quality, Q.score_quality, 0.3)])
-def test_held_out_accuracy(spark, documents, label, fit, score, threshold):
+def toxicity(docs, labels):
+    return X.score_toxicity(docs, X.fit_toxicity(docs, labels))
+
+
+def quality(docs, labels):
+    pooled = Q.pool_documents(docs)
+    return Q.score_quality(pooled, Q.fit_quality(pooled, labels))
+
+
+@pytest.mark.parametrize("label, score, threshold", [("toxic", toxicity, 0.5), ("quality", quality, 0.3)])
+def test_held_out_accuracy(spark, documents, label, score, threshold):
     docs, labels, marks = _labelled(spark, documents, label)
-    found = score(docs, fit(docs, labels)).orderBy("doc_id").collect()
+    found = score(docs, labels).orderBy("doc_id").collect()
     assert [r.doc_id for r in found] == list(range(len(marks)))
     assert [r.held_out for r in found] == [zlib.crc32(str(k).encode()) % 5 == 0 for k in range(len(marks))]
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= threshold) for r in found)
@@ -41,16 +53,17 @@ def test_held_out_accuracy(spark, documents, label, fit, score, threshold):
     assert np.mean([r.predicted == marks[r.doc_id] for r in held]) >= 0.9
 
 
-@pytest.mark.parametrize("label, fit, score", [("toxic", X.fit_toxicity, X.score_toxicity), ("quality", Q.fit_quality, Q.score_quality)])
-def test_odd_rows_and_labels(spark, documents, odd_documents, label, fit, score):
+@pytest.mark.parametrize("label, score", [("toxic", toxicity), ("quality", quality)])
+def test_odd_rows_and_labels(spark, documents, odd_documents, label, score):
     labels = spark.createDataFrame([(3, 1), (4, 0), (8, 1), (9, 0), (9, 0), (None, 1), (7, None), (2, 0)], f"doc_id long, {label} int")
-    found = score(odd_documents, fit(odd_documents, labels)).collect()
+    found = score(odd_documents, labels).collect()
     assert len(found) == odd_documents.count()
     assert all(0 <= r.score <= 1 for r in found)
+    assert {r.held_out for r in found if r.doc_id is None} == {None}
     assert len({r.score for r in found if r.doc_id in (0, 1)}) == 1  # null and empty alike
     none = spark.createDataFrame([], labels.schema)
-    assert {r.score for r in score(odd_documents, fit(odd_documents, none)).collect()} == {0.5}
-    assert score(documents([]), fit(documents([]), none)).count() == 0
+    assert {r.score for r in score(odd_documents, none).collect()} == {0.5}
+    assert score(documents([]), none).count() == 0
 
 
 def test_labels_of_held_out_rows_change_nothing(spark, documents):
@@ -60,23 +73,115 @@ def test_labels_of_held_out_rows_change_nothing(spark, documents):
     assert [r.score for r in one] == pytest.approx([r.score for r in two], abs=1e-6)
 
 
-def test_class_probabilities_sum_to_one(spark, documents):
-    """Over all words after one word, up to words that no text holds."""
-    docs, labels, _ = _labelled(spark, documents, "toxic")
-    model = X.fit_toxicity(docs, labels)
-    kept = len(model.lexicon.words)
-    toxic, _ = model.classes[0]
-    assert toxic.word.sum() + toxic.word_rest == pytest.approx(1, abs=1e-5)
-    assert toxic.stem.sum() + toxic.stem_rest == pytest.approx(1, abs=1e-5)
-    assert kept == len(toxic.word) - 1 and ((toxic.backoff >= 0) & (toxic.backoff <= 1)).all()
+class Counted:
+    """Kneser-Ney by the book, in dictionaries: texts of both classes and of the whole corpus."""
+
+    def __init__(self, corpus, toxic, ordinary):
+        self.corpus = {p for t in corpus for p in self.pairs(t)}
+        self.vocabulary = sorted({w for _, w in self.corpus})
+        self.of_word, self.of_stem = Counter(w for _, w in self.corpus), Counter(self.stem(w) for _, w in self.corpus)
+        self.classes = [Counter(p for t in texts for p in self.pairs(t)) for texts in (toxic, ordinary)]
+
+    @staticmethod
+    def pairs(text):
+        words = re.findall(r"[^\W_]+", text.lower())
+        return list(zip([None, *words], words))
+
+    @staticmethod
+    def stem(word):
+        return word.encode()[: X.STEM]
+
+    @staticmethod
+    def discount(counts):
+        once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+        return max(once / max(once + 2 * twice, 1), 0.1)
+
+    def probability(self, k, before, word):
+        pairs = self.classes[k]
+        words, stems = Counter(w for _, w in pairs), Counter(self.stem(w) for _, w in pairs)
+        stem, n = self.stem(word), sum(words.values())
+        of_stem, rest = self.off(stems, stem, n, self.of_stem[stem] / len(self.corpus))
+        p = of_stem + rest
+        p, rest = self.off(words, word, n, p * self.of_word[word] / self.of_stem[stem])
+        p += rest
+        after = Counter({w: c for (b, w), c in pairs.items() if b == before})
+        if not after:
+            return p
+        d, total = self.discount(pairs), sum(after.values())
+        return max(after[word] - d, 0) / total + p * sum(min(c, d) for c in after.values()) / total
+
+    def off(self, counts, key, total, below):
+        d = self.discount(counts)
+        left = sum(max(c - d, 0) for c in counts.values()) / total
+        return max(counts[key] - d, 0) / total, (1 - left) * below
+
+
+CORPUS = [prose(k, 25) for k in range(60)] + ["blork the snarv blork", "zilt zilt snarving blorks", "the ta the ri the no ta ta"] * 3
+
+
+def _small_model(documents):
+    toxic, ordinary = CORPUS[50:], CORPUS[:30]
+    df = documents(CORPUS).repartition(5)
+    sample = df.sparkSession.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in ordinary], "text string, label int")
+    lexicon, classes = X.fit_classes(X.pair_counts(sample))
+    return Counted(CORPUS, toxic, ordinary), X.ToxicityModel(lexicon.shared_with(df), classes, np.zeros(0))
+
+
+def test_probabilities_equal_kneser_ney_by_the_book(documents):
+    """Ratios of both classes for every pair of every text, and of texts that mix them."""
+    book, model = _small_model(documents)
+    for text in [*CORPUS[::4], "blork ta snarv the the", CORPUS[3] + " " + CORPUS[55]]:
+        ratios = [np.log(book.probability(0, b, w) / book.probability(1, b, w)) for b, w in book.pairs(text)]
+        found = model.evidence(pa.array([text]))[0, 0]
+        assert found[1] == pytest.approx(10 * np.mean(ratios), rel=1e-3, abs=1e-4)
+        assert found[2] == pytest.approx(max(ratios), rel=1e-3, abs=1e-4)
+
+
+def test_probabilities_sum_to_one_over_the_corpus(documents):
+    """Of all words of the corpus after a word: known contexts, unknown ones, the start."""
+    book, model = _small_model(documents)
+    words = X.read_words(pa.array([" ".join(book.vocabulary)]))
+    # Shares of words and stems that the sample does not hold fall out of ratios; here they are put in.
+    word_share = np.array([book.of_word[w] / book.of_stem[book.stem(w)] for w in book.vocabulary])
+    stem_share = np.array([book.of_stem[book.stem(w)] / len(book.corpus) for w in book.vocabulary])
+    for before in ["blork", "ta", "the", "never"]:
+        words.before[:] = X.read_words(pa.array([before])).word[0]
+        places = model.lexicon.places(words, slice(None))
+        known, stem = places[2] < len(model.lexicon.words), places[3] < len(model.lexicon.stems)
+        assert model.lexicon.word_share[places[2]][known] == pytest.approx(word_share[known])
+        assert model.lexicon.stem_share[places[3]][stem] == pytest.approx(stem_share[stem])
+        assert known.sum() not in (0, len(known))
+        for one in model.classes[0]:
+            assert one.probability(*places, word_share, stem_share).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_shared_counts_take_each_pair_once(documents):
     """A pair that a thousand documents share is one continuation."""
-    slot = lambda word: int(X._slots(X.read_words(pa.array([word])).word)[0])
-    word, _ = X.shared_counts(documents(["follow this"] * 1000 + ["a many b many", "c many"]).repartition(7))
-    assert word[slot("many")] / word[slot("nowhere")] == pytest.approx(4, rel=1e-5)
-    assert word[slot("this")] / word[slot("nowhere")] == pytest.approx(2, rel=1e-5)
+    texts = ["follow this"] * 1000 + ["a many b many", "c many follow", None, ""]
+    words = np.sort(X.read_words(pa.array(["many this"])).word)
+    stems = np.sort(X.read_words(pa.array(["many follo x"])).stem)
+    of_word, of_stem, total = X.shared_counts(documents(texts).repartition(7), words, stems)
+    name = lambda listed, word: int(np.searchsorted(listed, X.read_words(pa.array([word])).word[0]))
+    assert (of_word[name(words, "many")], of_word[name(words, "this")]) == (3, 1)
+    assert of_stem[name(stems, "many")] == 0  # listed words are counted by themselves
+    assert of_stem[name(stems, "follo")] == 2 and of_stem[name(stems, "x")] == 0
+    assert total == 9  # start-follow, follow-this, start-a, a-many, many-b, b-many, start-c, c-many, many-follow
+
+
+def test_pairs_survive_packing():
+    rng = np.random.default_rng(4)
+    kind = np.sort(rng.integers(0, 5000, 20_000))
+    pair = rng.integers(0, 2**64, 20_000, dtype=np.uint64)
+    found = X.unpack_pairs(X.pack_pairs(kind, pair))
+    assert (found >> np.uint64(40)).tolist() == kind.tolist()
+    assert (found & np.uint64(2**40 - 1)).tolist() == (pair >> np.uint64(24)).tolist()
+
+
+def test_counted_texts_stay_within_their_bytes(spark):
+    rows = [(k, "x" * 100, k % 2) for k in range(40)] + [(100, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    found = X._within(df, 550).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in found} == {0: 5, 1: 5 + (100 in {r.doc_id for r in X._within(df, 550).collect()})}
 
 
 @pytest.mark.parametrize("counts, want", [([1, 1, 1, 1, 2, 5], 4 / 6), ([1, 2, 2], 1 / 5), ([], 0.1)])
@@ -90,3 +195,73 @@ def test_temperature_is_fitted_on_unseen_rows():
     logits = 6 * np.where(rng.random(4000) < 0.8, 2 * y - 1, 1 - 2 * y)
     t = Q.fit_temperature(logits, y)
     assert 1 / (1 + np.exp(-6 / t)) == pytest.approx(0.8, abs=0.03)
+
+
+def brute_vectors(texts):
+    """Context vectors of all units of all texts, in 127ths, by plain loops."""
+    def units(text):
+        return [w.encode() for w in re.findall(r"[^\W\d_]+|\d+|[^\w\s]+|_+", text or "")]
+
+    def index(unit):
+        name, out = W.hashed_words(pa.array([unit.decode()]), W.UNITS).hashes, np.zeros(Q.DIM, np.int64)
+        for k in range(Q.NONZERO):
+            at, sign = Q._index(name, k)
+            out[at[0]] += sign[0]
+        return out
+
+    sums = {}
+    for text in texts:
+        row = units(text)
+        for k, unit in enumerate(row):
+            near = [index(row[j]) for j in (k - 1, k + 1) if 0 <= j < len(row)]
+            sums[unit] = sums.get(unit, np.zeros(Q.DIM, np.int64)) + sum(near, np.zeros(Q.DIM, np.int64))
+    vectors = {u: np.rint(Q.SCALE * v / max(np.sqrt((v * v).sum()), 1)) / Q.SCALE for u, v in sums.items()}
+    return [[vectors[u] for u in units(t)] for t in texts]
+
+
+def test_pooled_vectors_equal_brute_force(documents):
+    texts = [prose(k, 30) for k in range(25)] + ["ta ri 12 !! ta", "ta", "", None, "!! !! !! 7 7 ta", prose(3, 30), " ".join(["mo"] * 900) + " ku"]
+    for parts in (1, 6):
+        pooled = {r.doc_id: np.array(r.x) for r in Q.pool_documents(documents(texts).repartition(parts)).collect()}
+        for k, vectors in enumerate(brute_vectors(texts)):
+            want = np.concatenate([np.mean(vectors, axis=0), np.std(vectors, axis=0)]) if vectors else np.zeros(2 * Q.DIM)
+            assert pooled[k][: 2 * Q.DIM] == pytest.approx(want, abs=2e-3), texts[k]
+
+
+def test_vectors_of_another_corpus(documents):
+    corpus, asked = [prose(k, 30) for k in range(25)], ["ta ri no", "unheard ta"]
+    both = brute_vectors([*corpus])
+    pooled = {r.doc_id: np.array(r.x) for r in Q.pool_documents(documents(asked), documents(corpus)).collect()}
+    known = {w: v for text, row in zip(corpus, both) for w, v in zip(text.split(), row)}
+    for k, text in enumerate(asked):
+        want = np.mean([known.get(w, np.zeros(Q.DIM)) for w in text.split()], axis=0)
+        assert pooled[k][: Q.DIM] == pytest.approx(want, abs=2e-3)
+
+
+def test_sums_survive_packing_beyond_a_byte():
+    rng = np.random.default_rng(8)
+    names = np.sort(rng.integers(0, 2**64, 300, dtype=np.uint64))
+    sums = rng.integers(-5, 5, (300, Q.DIM)) * rng.choice([1, 1, 60, 100_000], (300, 1))
+    found, values = Q.unpack_sums(Q.pack_sums(names, sums.astype(np.int32)))
+    assert found.tolist() == (names >> np.uint64(16)).tolist()
+    assert np.array_equal(values, sums)
+
+
+def test_sums_do_not_wrap():
+    """Two blocks with the greatest sums that 32 bits hold."""
+    names, sums = np.array([7 << 32], np.uint64), np.full((1, Q.DIM), 2**31 - 1, np.int32)
+    payload = Q.pack_sums(names, sums)
+    table = pa.table({"block": pa.array([1, 2]), "bucket": pa.array([0, 0], pa.int32()), "adds": [True, True], "asks": [True, True], "payload": pa.array([payload] * 2, pa.binary())})
+    answer = next(Q._unpacked(Q._told(table).column("payload")[0].as_py(), "i1"))
+    assert (answer > 0).all()
+
+
+def test_kept_rows_are_those_that_score(spark, documents):
+    docs, labels, _ = _labelled(spark, documents, "quality")
+    docs = docs.selectExpr("*", "'clash' AS k1", "'clash' AS low1", "'clash' AS score").unionAll(docs.limit(3).selectExpr("*", "'clash' AS k1", "'clash' AS low1", "'clash' AS score"))
+    pooled = Q.pool_documents(docs)
+    network = Q.fit_quality(pooled, labels)
+    kept = Q.keep_quality(docs, pooled, network)
+    assert kept.columns == docs.columns
+    want = sorted(r.doc_id for r in Q.score_quality(pooled, network).collect() if r.predicted)
+    assert sorted(r.doc_id for r in kept.collect()) == want

@@ -1,16 +1,22 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a small network.
 
 1. Every unit of text (a run of letters, digits or signs) has a fixed sparse random index vector.
-   The context vector of a unit is the sum of its neighbours' index vectors over *all* documents.
-   Units share ``SLOTS`` rows by hash, so the table has one size at any scale.
+   The context vector of a unit is the sum of its neighbours' index vectors over *all* documents,
+   one vector for each distinct unit, brought to unit length and stored in a byte a dimension.
 2. A document is the mean and spread of its units' context vectors, the mean of its index vectors,
    and the mean agreement of neighbouring index vectors (high in repetitive text).
 3. A two-layer numpy network is fitted to at most ``FIT_ROWS`` labelled rows. Its temperature is
    fitted on labelled rows that the network has not seen, so that scores are probabilities.
 
+Vectors grow with the corpus and are never collected or broadcast. Documents travel in blocks of
+``BLOCK_BYTES`` of text. A block sends the sums of its distinct units, dealt into buckets by the
+unit's hash; a bucket adds up what all blocks sent (64-bit sums) and answers each block with the
+vectors of just its units; these meet the block's unit counts, and documents are pooled there. A
+unit is one row a block, however frequent it is, and there are as many buckets as partitions.
+
 Null and empty texts have no units: their features are zeros, which the network scores like any
-other. Null ids are kept. Without labelled rows of both classes every score is the share of
-label 1 (0.5 without any label).
+other. Null ids are kept; their held_out is null, as they have no crc32. Without labelled rows of
+both classes every score is the share of label 1 (0.5 without any label).
 """
 
 from __future__ import annotations
@@ -20,26 +26,37 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm import words as W
-from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, tree_sum
+from tillwise.llm.tables import held_out, stored
 
-SLOTS = 1 << 15
-DIM = 64
+DIM = 32
 #: Index vectors have this many entries of +1 or -1.
 NONZERO = 2
-BLOCKS = 16
+#: Bytes of text of a block.
+BLOCK_BYTES = 16 << 20
+#: Bits of a unit's name beside its bucket.
+NAME_BYTES = 6
 #: At most so many labelled rows train the network and set its temperature.
 FIT_ROWS = 20_000
 #: Of these, one in so many sets the temperature only.
 CALIBRATION_SHARE = 5
 HIDDEN = 32
 EPOCHS = 60
+#: Counts of units pooled at a time.
 CHUNK = 1 << 16
-BLOCK_ROWS = 64
+N_FEATURES = 3 * DIM + 3
+#: Values of a unit vector are stored as whole 127ths.
+SCALE = 127
+
+SENT_SCHEMA = "block long, bucket int, adds boolean, asks boolean, payload binary"
+TOLD_SCHEMA = "block long, bucket int, payload binary"
+DOCS_SCHEMA = "block long, doc_ids array<long>, k1 array<long>, k2 array<long>, payload binary"
+POOLED_SCHEMA = "doc_id long, k1 long, k2 long, x array<float>"
 
 
 def _index(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,96 +65,209 @@ def _index(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (bits % np.uint64(DIM)).astype(np.int64), ((bits >> np.uint64(32)) & np.uint64(1)).astype(np.int64) * 2 - 1
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(20)).astype(np.int64) % SLOTS
-
-
-def _add_contexts(total: np.ndarray, units: W.Words) -> None:
-    for low, high in W.row_chunks(units.first, CHUNK * 4):
-        h = units.hashes[units.first[low] : units.first[high]]
-        if len(h) < 2:
-            continue
-        joined = np.ones(len(h) - 1, bool)
-        edges = units.first[low + 1 : high] - units.first[low]
-        joined[edges[(edges > 0) & (edges < len(h))] - 1] = False
-        cell = _slots(h) * DIM
-        plus, minus = [], []
+@dataclass
+class Block:
+    """Units of some texts; the distinct ones by bucket and then by hash."""
+
+    units: W.Words
+    names: np.ndarray
+    bucket: np.ndarray
+    inverse: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array, buckets: int) -> Block:
+        units = W.hashed_words(texts, W.UNITS)
+        names, inverse = np.unique(units.hashes, return_inverse=True)
+        bucket = (names % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return cls(units, names[order], bucket[order], place[inverse])
+
+    def contexts(self) -> np.ndarray:
+        """The sum of the neighbours' index vectors of each distinct unit."""
+        total = np.zeros(len(self.names) * DIM, np.int32)
+        rows = self.units.rows()
+        next_to = rows[1:] == rows[:-1]
         for k in range(NONZERO):
-            at, sign = _index(h, k)
-            for cells in (np.stack([cell[:-1] + at[1:], sign[1:]])[:, joined], np.stack([cell[1:] + at[:-1], sign[:-1]])[:, joined]):
-                up = cells[1] > 0
-                plus.append(cells[0][up])
-                minus.append(cells[0][~up])
-        np.add.at(total, np.concatenate(plus), 1)
-        np.subtract.at(total, np.concatenate(minus), 1)
-
-
-def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
-    """SLOTS x DIM context vectors over all documents, centred and of unit length."""
-    texts = documents.select(F.col(text).alias("text"))
-
-    def partial(batches):
-        total = np.zeros(SLOTS * DIM, np.int32)
-        for batch in W.pieces(batches):
-            _add_contexts(total, W.hashed_words(batch.column(0), W.UNITS))
-        for part, block, payload in block_rows(TaskContext.get().partitionId(), total, BLOCKS):
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([block], pa.int32()), pa.array([payload], pa.binary())], ["part", "block", "payload"])
-
-    sums = tree_sum(texts.mapInArrow(partial, SUM_SCHEMA), texts.rdd.getNumPartitions(), SLOTS * DIM, BLOCKS, np.int32)
-    vectors = sums.reshape(SLOTS, DIM).astype(np.float32)
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
-    vectors -= vectors.mean(axis=0)
-    return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)).astype(np.float32)
-
-
-N_FEATURES = 3 * DIM + 3
-
-
-def _row_blocks(first: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges with about CHUNK units and at most BLOCK_ROWS rows."""
-    for low, high in W.row_chunks(first, CHUNK):
-        for at in range(low, high, BLOCK_ROWS):
-            yield at, min(at + BLOCK_ROWS, high)
-
-
-def features(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """One row of N_FEATURES pooled values per text."""
-    units = W.hashed_words(texts, W.UNITS)
-    out = np.zeros((len(units.first) - 1, N_FEATURES), np.float32)
-    for low, high in _row_blocks(units.first):
-        first = units.first[low : high + 1] - units.first[low]
-        h = units.hashes[units.first[low] : units.first[high]]
-        if not len(h):
-            continue
+            at, sign = _index(self.units.hashes, k)
+            sign = sign.astype(np.int32)
+            np.add.at(total, (self.inverse[:-1] * DIM + at[1:])[next_to], sign[1:][next_to])
+            np.add.at(total, (self.inverse[1:] * DIM + at[:-1])[next_to], sign[:-1][next_to])
+        return total.reshape(-1, DIM)
+
+    def own_features(self) -> np.ndarray:
+        """Mean index vector, agreement of neighbours and length of every text; no other block is needed for these."""
+        first, h, rows = self.units.first, self.units.hashes, self.units.rows()
+        texts = len(first) - 1
         n = np.maximum(np.diff(first), 1)[:, None].astype(np.float32)
-        rows = np.repeat(np.arange(high - low), np.diff(first))
-        # Sums over a text's units as counts times the vectors of the slots in use.
-        slots = _slots(h)
-        place = np.zeros(SLOTS, np.int64)
-        place[slots] = 1
-        used = np.flatnonzero(place)
-        place[used] = np.arange(len(used))
-        counts = np.bincount(rows * len(used) + place[slots], minlength=(high - low) * len(used))
-        shares = counts.reshape(high - low, len(used)).astype(np.float32) / n
-        v = vectors[used]
-        mean = shares @ v
-        spread = np.sqrt(np.maximum(shares @ (v * v) - mean * mean, 0))
-        index = np.zeros((high - low) * DIM)
+        index = np.zeros(texts * DIM)
         for k in range(NONZERO):
             at, sign = _index(h, k)
-            index += np.bincount(rows * DIM + at, sign, (high - low) * DIM)
-        index = index.reshape(high - low, DIM) / n
+            index += np.bincount(rows * DIM + at, sign, texts * DIM)
+        index = index.reshape(texts, DIM) / n
         same = np.zeros(len(h), np.float32)
         same[1:] = (h[1:] == h[:-1]) & (rows[1:] == rows[:-1])
-        out[low:high, :DIM] = mean
-        out[low:high, DIM : 2 * DIM] = spread
-        out[low:high, 2 * DIM : 3 * DIM] = np.abs(index)
-        out[low:high, 3 * DIM] = W.segment_sums(same, first) / n[:, 0]
-        out[low:high, 3 * DIM + 1] = np.sqrt((index**2).sum(axis=1))
-        out[low:high, 3 * DIM + 2] = np.log1p(np.diff(first))
+        repeats = W.segment_sums(same, first) / n[:, 0]
+        return np.column_stack([np.abs(index), repeats, np.sqrt((index**2).sum(axis=1)), np.log1p(np.diff(first))]).astype(np.float32)
+
+    def unit_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct units of each text in order, how often each occurs, and where each text's begin."""
+        key, counts = np.unique((self.units.rows() << 32) | self.inverse, return_counts=True)
+        return key & 0xFFFFFFFF, counts, np.searchsorted(key >> 32, np.arange(len(self.units.first)))
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays one after another, each as a zstandard frame of its bytes, lowest bytes of all values first."""
+    out, compressor = [], zstandard.ZstdCompressor(level=3)
+    for values in arrays:
+        planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
+        frame = compressor.compress(np.ascontiguousarray(planes).tobytes())
+        out += [len(frame).to_bytes(8, "little"), frame]
+    return b"".join(out)
+
+
+def _unpacked(payload: bytes, *kinds: str) -> Iterator[np.ndarray]:
+    at = 0
+    for kind in kinds:
+        size = int.from_bytes(payload[at : at + 8], "little")
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload[at + 8 : at + 8 + size]), np.uint8)
+        yield np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+        at += 8 + size
+
+
+def pack_sums(names: np.ndarray, sums: np.ndarray) -> bytes:
+    """Sorted names (of one bucket) and their sums: a byte for each, and the few that need more."""
+    small = sums.reshape(-1).astype(np.int8)
+    wide = np.flatnonzero(small != sums.reshape(-1))
+    return _packed((names >> np.uint64(64 - 8 * NAME_BYTES)).astype("<u8"), small, wide.astype("<i8"), sums.reshape(-1)[wide].astype("<i4"))
+
+
+def unpack_sums(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    names, small, wide, values = _unpacked(payload, "<u8", "i1", "<i8", "<i4")
+    sums = small.astype(np.int64)
+    sums[wide] = values
+    return names, sums.reshape(-1, DIM)
+
+
+def unit_length(sums: np.ndarray) -> np.ndarray:
+    """Context vectors from sums, in 127ths."""
+    length = np.sqrt((sums.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+    return np.rint(SCALE * sums / np.maximum(length, 1)).astype(np.int8)
+
+
+def _blocks(batches) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Numbered blocks of a task; the same rows in the same order give the same numbers."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in W.pieces(batches, 0, BLOCK_BYTES):
+        yield number, batch
+        number += 1
+
+
+def _rows(documents: DataFrame, id_column: str, text: str) -> DataFrame:
+    """text, doc_id and 128 bits of the text; both passes read these, so that both cut the same blocks."""
+    key = F.coalesce(F.col(text), F.lit(""))
+    return documents.select(F.col(text).alias("text"), F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(key).alias("k1"), F.xxhash64(F.lit("quality"), key).alias("k2"))
+
+
+def _sent(rows: DataFrame, buckets: int, adds: bool, asks: bool) -> DataFrame:
+    """SENT_SCHEMA: of each block and bucket, the units and the sums of their contexts."""
+
+    def sent(batches):
+        for number, batch in _blocks(batches):
+            block = Block.of(batch.column(0), buckets)
+            sums = block.contexts() if adds else np.zeros((len(block.names), DIM), np.int32)
+            cuts = np.searchsorted(block.bucket, np.arange(buckets + 1))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                part = slice(cuts[k], cuts[k + 1])
+                columns = [[number], [k], [adds], [asks], [pack_sums(block.names[part], sums[part])]]
+                kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [p.split()[0] for p in SENT_SCHEMA.split(", ")])
+
+    return rows.mapInArrow(sent, SENT_SCHEMA)
+
+
+def _told(table: pa.Table) -> pa.Table:
+    """Answers of one bucket: the vectors of each asking block's units, from the sums of all that add."""
+    payloads = [p.as_py() for p in table.column("payload")]
+    adds, asks = table.column("adds").to_pylist(), table.column("asks").to_pylist()
+    names = np.unique(np.concatenate([unpack_sums(p)[0] for p in payloads]))
+    total = np.zeros((len(names), DIM), np.int64)
+    for payload, add in zip(payloads, adds):
+        if add:
+            own, sums = unpack_sums(payload)
+            total[np.searchsorted(names, own)] += sums  # a block names a unit once
+    vectors = unit_length(total)
+    told = [_packed(vectors[np.searchsorted(names, unpack_sums(p)[0])].reshape(-1)) for p, ask in zip(payloads, asks) if ask]
+    keep = table.filter(pa.array(asks, pa.bool_()))
+    return pa.Table.from_arrays([keep.column("block"), keep.column("bucket"), pa.array(told, pa.binary())], ["block", "bucket", "payload"])
+
+
+def _counted(rows: DataFrame, buckets: int) -> DataFrame:
+    """DOCS_SCHEMA: of each block, its documents' unit counts and own features."""
+
+    def counted(batches):
+        for number, batch in _blocks(batches):
+            block = Block.of(batch.column(0), buckets)
+            unit, counts, first = block.unit_counts()
+            gaps = np.diff(unit, prepend=0)
+            gaps[first[:-1][np.diff(first) > 0]] = unit[first[:-1][np.diff(first) > 0]]
+            payload = _packed(np.array([len(block.names)], "<i8"), np.diff(first).astype("<i4"), gaps.astype("<u4"), counts.astype("<u4"), block.own_features().reshape(-1))
+            lists = [pa.array([batch.column(k).to_pylist()], pa.list_(pa.int64())) for k in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists, pa.array([payload], pa.binary())], ["block", "doc_ids", "k1", "k2", "payload"])
+
+    return rows.mapInArrow(counted, DOCS_SCHEMA)
+
+
+def pool(vectors: np.ndarray, unit: np.ndarray, counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Mean and spread of the vectors of each text's units."""
+    out = np.zeros((len(first) - 1, 2 * DIM), np.float32)
+    for low, high in W.row_chunks(first, CHUNK):
+        begin, end = first[low], first[high]
+        weight = counts[begin:end, None].astype(np.float32)
+        v = vectors[unit[begin:end]].astype(np.float32) / SCALE
+        n = np.maximum(W.segment_sums(weight, first[low : high + 1] - begin), 1)
+        mean = W.segment_sums(weight * v, first[low : high + 1] - begin) / n
+        square = W.segment_sums(weight * v * v, first[low : high + 1] - begin) / n
+        out[low:high, :DIM], out[low:high, DIM:] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
     return out
 
 
+def _pooled(docs: pa.Table, told: pa.Table) -> pa.Table:
+    """POOLED_SCHEMA of one block's documents from their counts and the answers of all buckets."""
+    if len(docs) != 1:
+        raise ValueError("the documents changed while they were pooled")
+    units, sizes, gaps, counts, own = _unpacked(docs.column("payload")[0].as_py(), "<i8", "<i4", "<u4", "<u4", "<f4")
+    told = told.sort_by("bucket")
+    answers = [next(_unpacked(p.as_py(), "i1")) for p in told.column("payload")]
+    vectors = (np.concatenate(answers) if answers else np.zeros(0, np.int8)).reshape(-1, DIM)
+    if len(vectors) != units[0]:
+        raise ValueError("the documents changed while they were pooled")
+    first = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    sums = np.cumsum(gaps, dtype=np.int64)
+    before = np.concatenate([[0], sums])[first[:-1]]
+    unit = sums - np.repeat(before, sizes)
+    x = np.concatenate([pool(vectors, unit, counts, first), own.reshape(len(sizes), -1)], axis=1)
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1), pa.float32()), N_FEATURES).cast(pa.list_(pa.float32()))
+    columns = [docs.column(name)[0].values for name in ("doc_ids", "k1", "k2")]
+    return pa.Table.from_arrays([*columns, lists], ["doc_id", "k1", "k2", "x"])
+
+
+def pool_documents(documents: DataFrame, corpus: DataFrame | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """POOLED_SCHEMA for every row, stored: its id, 128 bits of its text, its features.
+
+    Word vectors come from the documents themselves, or from another corpus if one is named.
+    """
+    buckets = max((documents if corpus is None else corpus).rdd.getNumPartitions(), 8)
+    rows = _rows(documents, id_column, text)
+    sent = _sent(rows, buckets, corpus is None, True)
+    if corpus is not None:
+        sent = sent.unionByName(_sent(_rows(corpus, id_column, text), buckets, True, False))
+    told = sent.groupBy("bucket").applyInArrow(_told, TOLD_SCHEMA)
+    counted = _counted(rows, buckets)
+    return stored(counted.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_pooled, POOLED_SCHEMA))
+
+
 @dataclass
 class Network:
     """Standardised features -> tanh layer -> logit, divided by the temperature."""
@@ -203,8 +333,8 @@ def fit(x: np.ndarray, y: np.ndarray, calibration: np.ndarray, seed: int = 7) ->
     return net
 
 
-def fit_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(text, label) of at most ``rows`` labelled rows that may be learned from, in hash order.
+def fit_quality(pooled: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> Network:
+    """The network from at most ``rows`` labelled rows that may be learned from, in hash order.
 
     The ids are chosen from the label table alone; only that bounded list meets the documents.
     """
@@ -215,60 +345,31 @@ def fit_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int) -
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    sample = pooled.join(F.broadcast(ids), "doc_id").select("doc_id", "k1", "x", "label").toArrow().sort_by([("doc_id", "ascending"), ("k1", "ascending")])
+    doc_id, y = sample["doc_id"].to_numpy(), sample["label"].to_numpy()
+    x = sample["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES) if len(sample) else np.zeros((0, N_FEATURES))
+    return fit(x, y, W.mix(doc_id.astype(np.uint64)) % np.uint64(CALIBRATION_SHARE) == 0)
 
 
-@dataclass
-class QualityModel:
-    vectors: np.ndarray
-    network: Network
-
-
-def fit_quality(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> QualityModel:
-    """Word vectors from all documents, the network from the labelled sample."""
-    vectors = context_vectors(documents)
-    shared = documents.sparkSession.sparkContext.broadcast(vectors)
-
-    def featured(batches):
-        for batch in W.pieces(batches, 1):
-            x = features(batch.column(1), shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), N_FEATURES).cast(pa.list_(pa.float32())), batch.column(2)], ["doc_id", "x", "label"]
-            )
-
-    sample = fit_sample(documents, labels, "quality", rows).mapInArrow(featured, "doc_id long, x array<float>, label int").toArrow()
-    order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")
-    x = sample["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)[order] if len(sample) else np.zeros((0, N_FEATURES))
-    y = sample["label"].to_numpy()[order]
-    calibration = W.mix(sample["doc_id"].to_numpy()[order].astype(np.uint64)) % np.uint64(CALIBRATION_SHARE) == 0
-    return QualityModel(vectors, fit(x, y, calibration))
-
-
-def score_quality(documents: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``documents``."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+def _scored(pooled: DataFrame, network: Network) -> DataFrame:
+    """doc_id, k1, k2, score."""
+    shared = pooled.sparkSession.sparkContext.broadcast(network)
 
     def scored(batches):
-        for batch in W.pieces(batches, 1):
-            score = shared.value.network.probabilities(features(batch.column(1), shared.value.vectors))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
-
-    return (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(scored, "doc_id long, score double")
-        .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
-    )
+        for batch in batches:
+            x = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(shared.value.probabilities(x), pa.float64())], ["doc_id", "k1", "k2", "score"])
+
+    return pooled.mapInArrow(scored, "doc_id long, k1 long, k2 long, score double")
 
 
-def keep_quality(documents: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
-    """The documents, same columns, whose score reaches the threshold."""
-    text = documents.columns.index("text")
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+def score_quality(pooled: DataFrame, network: Network, threshold: float = 0.3) -> DataFrame:
+    """doc_id, held_out, score, predicted for every pooled row."""
+    return _scored(pooled, network).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    def kept(batches):
-        for batch in W.pieces(batches, text):
-            texts = batch.column(text)
-            good = shared.value.network.probabilities(features(texts, shared.value.vectors)) >= threshold
-            yield batch.filter(pa.array(good))
 
-    return documents.mapInArrow(kept, documents.schema)
+def keep_quality(documents: DataFrame, pooled: DataFrame, network: Network, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """The documents, same columns, whose score reaches the threshold; a row's score depends on its text alone."""
+    low = _scored(pooled, network).where(F.col("score") < threshold).select(F.col("k1").alias("low1"), F.col("k2").alias("low2")).distinct()
+    key = F.coalesce(documents[text], F.lit(""))
+    return documents.join(low, (F.xxhash64(key) == low["low1"]) & (F.xxhash64(F.lit("quality"), key) == low["low2"]), "left_anti")

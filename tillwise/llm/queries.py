@@ -45,9 +45,8 @@ def op8_token_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    model = quality_classifier.fit_quality(documents, table(spark, folder, "labels"))
-    return quality_classifier.score_quality(documents, model)
+    pooled = quality_classifier.pool_documents(table(spark, folder, "documents"))
+    return quality_classifier.score_quality(pooled, quality_classifier.fit_quality(pooled, table(spark, folder, "labels")))
 
 
 def op10_link_graph(spark: SparkSession, folder: str) -> DataFrame:
