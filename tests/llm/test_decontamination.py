@@ -73,3 +73,31 @@ def test_places_lead_back_to_the_text(text):
     assert len(places) == len(P.normalised(text)) + 1
     for k, c in enumerate(P.normalised(text)):
         assert c == " " or c in text[places[k]].lower()
+
+
+def test_blocks_of_one_pass_read_the_documents_once(spark, documents, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_CHARACTERS", 400)
+    items = spark.createDataFrame([(k, prose(k, 30)) for k in range(24)], "item_id long, text string")
+    assert sum(len(blocks) for blocks in P.passes(items)) >= 12
+    docs = documents([prose(50, 20) + " " + prose(k, 30) for k in range(24)] + [prose(51, 50)])
+    for found in (P.find_leaks(docs, items), P.without_leaks(docs, items)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.item_id) for r in P.find_leaks(docs, items).collect()) == [(k, k) for k in range(24)]
+    assert [r.doc_id for r in P.without_leaks(docs, items).collect()] == [24]
+
+
+def test_long_item_tables_take_several_passes(spark, documents, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_CHARACTERS", 300)
+    monkeypatch.setattr(P, "PASS_CHARACTERS", 900)
+    items = spark.createDataFrame([(k, prose(k, 30)) for k in range(12)], "item_id long, text string")
+    assert len(list(P.passes(items))) >= 3
+    assert all(sum(len(i.text) for b in blocks for i in P.unpacked(b)) <= 900 for blocks in P.passes(items))
+    docs = documents([prose(50, 20) + " " + prose(k, 30) for k in range(12)] + [None, prose(51, 50)])
+    assert sorted((r.doc_id, r.item_id) for r in P.find_leaks(docs, items).collect()) == [(k, k) for k in range(12)]
+    assert sorted(r.doc_id for r in P.without_leaks(docs, items).collect()) == [12, 13]
+
+
+def test_blocks_survive_packing():
+    block = [P.Item(None, "a\"b \u2028"), P.Item(3, "é\ud7ff")]
+    assert P.unpacked(P.packed(block)) == block

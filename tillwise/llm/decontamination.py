@@ -8,8 +8,11 @@ algorithm measures the edit distance only around hits. Nothing within the budget
 Texts are compared in lower case with runs of white space as one space; spans are in code points
 of the text as it stands.
 
-Items come in blocks of ``BLOCK_CHARACTERS``; each block is one pass over the documents with an
-automaton of bounded size, so the item table may have any length and is never held as a whole.
+Items come in blocks of ``BLOCK_CHARACTERS``, each with an automaton of bounded size. The documents are
+read once: a task takes a stretch of about ``CHUNK_BYTES`` of texts through all blocks, one automaton in
+memory at a time. Blocks are sent packed, ``PASS_CHARACTERS`` of items at most; an item table that is
+longer takes another pass for each so many, after which what was sent before is given up. So neither
+the driver nor a task ever holds more than that, however long the table is.
 
 Null and empty texts and items match nothing. Repeated items give a row each. A row is one
 document and one item, with the best match (the leftmost of equals).
@@ -17,22 +20,28 @@ document and one item, with the best match (the leftmost of equals).
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 from uuid import uuid4
 
 import pyarrow as pa
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm import words as W
+from tillwise.llm.tables import stored
 
 ERROR_RATE = 0.08
 #: Pieces are not shorter than this; very short items have a smaller budget.
 LEAST_PIECE = 8
 BLOCK_CHARACTERS = 1 << 20
+PASS_CHARACTERS = 32 << 20
+#: Bytes of texts that meet one block after another.
+CHUNK_BYTES = 16 << 20
 
 SCHEMA = "doc_id long, item_id long, distance int, budget int, start long, end long"
 
@@ -162,25 +171,33 @@ def original_places(text: str) -> list[int]:
     return [*places, (places[-1] + 1) if places else 0]
 
 
-_matchers: dict[str, Matcher] = {}
+_matchers: dict[tuple[str, int], Matcher] = {}
 
 
-def _matcher(name: str, block: list[Item]) -> Matcher:
-    """A block's automaton, built once for each worker process; only the latest is kept."""
-    if name not in _matchers:
+def _matcher(name: str, number: int, block: bytes) -> Matcher:
+    """A block's automaton; a worker process keeps the latest only."""
+    if (name, number) not in _matchers:
         _matchers.clear()
-        _matchers[name] = Matcher(block)
-    return _matchers[name]
+        _matchers[name, number] = Matcher(unpacked(block))
+    return _matchers[name, number]
 
 
-def item_blocks(items: DataFrame, characters: int = BLOCK_CHARACTERS) -> Iterator[list[Item]]:
-    """The items in blocks of about so many characters, one block in memory at a time."""
+def packed(block: list[Item]) -> bytes:
+    return zstandard.ZstdCompressor().compress(json.dumps([[i.item_id, i.text] for i in block]).encode())
+
+
+def unpacked(block: bytes) -> list[Item]:
+    return [Item(*i) for i in json.loads(zstandard.ZstdDecompressor().decompress(block))]
+
+
+def item_blocks(items: DataFrame) -> Iterator[list[Item]]:
+    """The items in blocks of about BLOCK_CHARACTERS, one block in memory at a time."""
     block, size = [], 0
     for row in items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull()).orderBy("item_id", "text").toLocalIterator():
         text = normalised(row["text"])
         if not text:
             continue
-        if block and size + len(text) > characters:
+        if block and size + len(text) > BLOCK_CHARACTERS:
             yield block
             block, size = [], 0
         block.append(Item(row["item_id"], text))
@@ -189,45 +206,72 @@ def item_blocks(items: DataFrame, characters: int = BLOCK_CHARACTERS) -> Iterato
         yield block
 
 
+def passes(items: DataFrame) -> Iterator[list[bytes]]:
+    """Packed blocks, as many at a time as one pass over the documents takes."""
+    blocks, size = [], 0
+    for block in item_blocks(items):
+        length = sum(len(i.text) for i in block)
+        if blocks and size + length > PASS_CHARACTERS:
+            yield blocks
+            blocks, size = [], 0
+        blocks.append(packed(block))
+        size += length
+    if blocks:
+        yield blocks
+
+
 def find_leaks(documents: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """SCHEMA: every (document, item) whose item occurs in the text within its budget."""
-    spark = documents.sparkSession
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def of_block(block: list[Item]) -> DataFrame:
-        sent, name = spark.sparkContext.broadcast(block), uuid4().hex
-
+    def of_pass(sent: Broadcast, name: str) -> DataFrame:
         def matched(batches):
-            matcher = _matcher(name, sent.value)
-            for batch in W.pieces(batches, 1):
-                out = []
-                for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    found = list(matcher.matches(normalised(value))) if value else []
-                    if found:
-                        places = original_places(value)
-                        out += [(doc_id, i, d, k, places[a], places[b - 1] + 1 if b else places[b]) for i, d, k, a, b in found]
-                columns = list(zip(*out)) if out else [()] * 6
+            for batch in W.pieces(batches, 1, CHUNK_BYTES):
+                ids, texts, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+                plain = [normalised(t) if t else "" for t in texts]
+                for number, block in enumerate(sent.value):
+                    matcher = _matcher(name, number, block)
+                    for row, text in enumerate(plain):
+                        out += [(row, *match) for match in matcher.matches(text)]
+                places = {row: original_places(texts[row]) for row in {m[0] for m in out}}
+                found = [(ids[r], i, d, k, places[r][a], places[r][b - 1] + 1 if b else places[r][b]) for r, i, d, k, a, b in out]
+                columns = list(zip(*found)) if found else [()] * 6
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [c.split()[0] for c in SCHEMA.split(", ")])
 
         return rows.mapInArrow(matched, SCHEMA)
 
-    found = [of_block(block) for block in item_blocks(items)]
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], SCHEMA)
+    found = _each_pass(items, lambda sofar, sent, name: of_pass(sent, name) if sofar is None else sofar.unionByName(of_pass(sent, name)), documents)
+    return documents.sparkSession.createDataFrame([], SCHEMA) if found is None else found
 
 
 def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, same columns, less those that hold an item within its budget."""
-    schema = documents.schema
-    at = documents.columns.index("text")
-    for block in item_blocks(items):
-        sent, name = documents.sparkSession.sparkContext.broadcast(block), uuid4().hex
-
-        def clean(batches, sent=sent, name=name):
-            matcher = _matcher(name, sent.value)
-            for batch in W.pieces(batches, at):
-                texts = batch.column(at).to_pylist()
-                yield batch.filter(pa.array([not t or next(matcher.matches(normalised(t)), None) is None for t in texts], pa.bool_()))
-
-        documents = documents.mapInArrow(clean, schema)
-    return documents
+    schema, at = documents.schema, documents.columns.index("text")
+
+    def of_pass(sofar: DataFrame | None, sent: Broadcast, name: str) -> DataFrame:
+        def clean(batches):
+            for batch in W.pieces(batches, at, CHUNK_BYTES):
+                plain = [normalised(t) if t else "" for t in batch.column(at).to_pylist()]
+                good = [True] * len(plain)
+                for number, block in enumerate(sent.value):
+                    matcher = _matcher(name, number, block)
+                    good = [ok and next(matcher.matches(t), None) is None for ok, t in zip(good, plain)]
+                yield batch.filter(pa.array(good, pa.bool_()))
+
+        return (documents if sofar is None else sofar).mapInArrow(clean, schema)
+
+    found = _each_pass(items, of_pass, documents)
+    return documents if found is None else found
+
+
+def _each_pass(items: DataFrame, of_pass: Callable[[DataFrame | None, Broadcast, str], DataFrame], documents: DataFrame) -> DataFrame | None:
+    """Results of all passes; what a pass was sent is given up before the next is sent."""
+    found, sent = None, None
+    for blocks in passes(items):
+        if sent is not None:
+            found = stored(found)
+            sent.destroy()
+        sent = documents.sparkSession.sparkContext.broadcast(blocks)
+        found = of_pass(found, sent, uuid4().hex)
+    return found
