@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -33,9 +34,8 @@ def test_no_tokens():
 
 def test_round_trip_equals_the_tokenizer(spark, documents, monkeypatch):
     monkeypatch.setattr(D, "SEGMENT_TOKENS", 500)
-    texts = ODD_TEXTS + ["THE  quick's fox\u00a0jumped", "İstanbul ΣΑΣ", "<|endoftext|>", "e\u0301 \u0301x"]
+    texts = ODD_TEXTS + ["THE  quick's fox\u00a0jumped", "İstanbul ΣΑΣ", "<|endoftext|>", "e\u0301 \u0301x", "hello <|endoftext|> x", "a<|startoftext|>b<|ENDOFTEXT|><|endoftext|"]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     found = D.round_trip(documents(texts[::-1])).orderBy("doc_id").collect()
     start = 0
     for row, text in zip(found, texts[::-1]):
@@ -51,3 +51,31 @@ def test_odd_rows_and_an_empty_table(spark, odd_documents, documents):
     path = shared_folder(spark)
     D.write_codes(documents([]), path)
     assert D.document_digests(D.read_codes(spark, path)).count() == 0
+
+
+def test_special_strings_are_read_as_the_library_reads_them():
+    encoder = D.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    ids, first = encoder.encode(pa.array(["hello <|endoftext|> x"]))
+    assert ids.tolist() == [3306, 49407, 343] and first.tolist() == [0, 3]
+
+
+def test_tokenizers_that_keep_white_space_are_refused():
+    with pytest.raises(ValueError, match="not those of its words"):
+        D.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_rows_of_one_id_are_dealt_out(spark):
+    rows = [(None if k % 2 else 5, f"text {k} " + "word " * 50) for k in range(400)] + [(5, "equal rows " * 40)] * 400
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = shared_folder(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one task
+    try:
+        D.write_codes(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    segments = D.read_codes(spark, path)
+    sizes = [r.n for r in segments.groupBy("part").agg({"n_docs": "sum"}).withColumnRenamed("sum(n_docs)", "n").collect()]
+    assert sum(sizes) == 800 and max(sizes) <= 300 and len(sizes) >= 4
+    found = D.document_digests(segments).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None] * 200 + [5] * 600
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]

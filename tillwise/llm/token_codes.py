@@ -14,7 +14,8 @@ document starts (documents + 1); doc ids as int64 and a byte each (1: null); the
 uint64 count, the bytes, the bitmap and the directory (absent in the last level).
 
 Null texts count as empty: they have the end id alone. Null ids sort first. Rows with equal ids
-stay separate documents, in the order of their text.
+stay separate documents, in the order of a hash of their text and then of the text; they, too, are dealt
+out over many tasks. Strings of special tokens in a text are read as the library reads them.
 """
 
 from __future__ import annotations
@@ -52,10 +53,11 @@ def _tokenizer_path() -> str:
 
 
 class WordEncoder:
-    """Ids of texts under a tokenizer whose tokens never span white space.
+    """Ids of texts under a tokenizer that drops white space.
 
     Such a tokenizer gives a text the ids of its blank-separated words one after another, so each
-    distinct word is encoded once. Special tokens' strings in a text are ordinary text.
+    distinct word is encoded once. No special token holds white space, so those within a text are
+    read word by word as well. Another tokenizer is refused.
     """
 
     def __init__(self, path: str):
@@ -64,9 +66,18 @@ class WordEncoder:
 
         self.path = path
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self._check()
         self._forget()
 
+    def _check(self) -> None:
+        """Whether texts of several words have the ids of their words, whatever blanks are between them."""
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        words = ["a", "the", "x7,", "don't", *specials]
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        apart = [i for w in words for i in ids(w)]
+        if any(any(c.isspace() for c in t) for t in specials) or any(ids(blank + blank.join(words) + blank) != apart for blank in (" ", "  ", "\n", "\t \r\n")):
+            raise ValueError(f"{self.path}: ids of a text are not those of its words")
+
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)  # sorted
         self.place = np.zeros(0, np.int64)  # of a known word in starts
@@ -225,10 +236,12 @@ def write_codes(documents: DataFrame, path: str, tokenizer: str | None = None, i
         if doc_ids:
             yield packed()
 
+    # Rows of one id are told apart by their text, and equal rows, whose order is nobody's concern, by their place.
     (
-        documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("name"), F.monotonically_increasing_id().alias("place"))
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "name", "place")
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "name", "text")
+        .select("doc_id", "text")
         .mapInArrow(segments, SCHEMA)
         .write.option("compression", "none")
         .parquet(path)
