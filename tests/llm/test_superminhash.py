@@ -133,3 +133,41 @@ def test_odd_rows_and_an_empty_table(odd_documents, documents):
 def test_shingles_ignore_ascii_case_only():
     e, f = S.shingles(pa.array(["A b C", "a B c", "É b c", "é b c"]), 3)
     assert e[0] == e[1] and e[2] != e[3] and f.tolist() == [0, 1, 2, 3, 4]
+
+
+A, B = prose(70, 40), prose(71, 40)
+REPEATED = [(1, A), (1, A), (2, A), (5, A), (5, B), (None, A)]
+
+
+def _rows(spark, rows):
+    """With columns whose names the operator uses."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("row", "t1", "name", "component", "one", "salt"):
+        df = df.selectExpr("*", f"'clash' AS {name}")
+    return df
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_repeated_and_null_ids(spark, parts):
+    df = _rows(spark, REPEATED).repartition(parts)
+    kept = S.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, A), (5, B)])
+    found = sorted(((r.doc_id or 0, r.component_id, r.kept) for r in S.deduplicate(df).collect()))
+    assert found == [(0, 1, False), (1, 1, True), (1, 1, True), (2, 1, False), (5, 1, False), (5, 5, True)]
+
+
+def test_groups_without_any_id(spark):
+    near = A.replace(A.split()[3], "other", 1)
+    rows = [(None, A), (None, near), (None, B), (None, ""), (None, ""), (None, None), (4, ""), (4, ""), (9, None)]
+    df = _rows(spark, rows).repartition(3)
+    kept = [(r.doc_id, r.text) for r in S.one_of_each(df, size=3, percent=70).collect()]
+    assert len({(None, A), (None, near)} & set(kept)) == 1
+    assert sorted((r for r in kept if r[1] not in (A, near)), key=str) == sorted([(None, B), *rows[3:]], key=str)
+    assert {(r.component_id, r.kept) for r in S.deduplicate(df, 3, 70).where("doc_id IS NULL").collect()} == {(None, True)}
+
+
+def test_one_of_each_keeps_the_least_id_of_brute_force(documents):
+    texts = [prose(k, 60) for k in range(12)] + list(near_copies(300, 25, 6)) + [prose(2, 60), prose(3, 60)] + list(drifting(301, 6))
+    kept = sorted(r.doc_id for r in S.one_of_each(documents(texts).repartition(4)).collect())
+    assert kept == [k for k, (_, root) in enumerate(brute(texts, 5, 80)) if k == root]

@@ -23,7 +23,10 @@ similarity with 4e-5 (0.9: 2e-8); at 0.8, 42 bands of 6 rows with 3e-6. The marg
 four standard deviations of the estimate.
 
 Null and empty texts, or those without words, have no set and no links; fewer than ``size`` words
-are one shingle. Ids are taken as unique; rows of a repeated id are one node of the graph.
+are one shingle. The nodes of the graph are sets, not ids: rows of a repeated id are grouped by what
+each of them holds, and rows without an id by their text. A component is named by the least id of its
+rows, or by null if none has an id; ``one_of_each`` keeps one row of each component, repeated
+rows and null ids included.
 """
 
 from __future__ import annotations
@@ -120,19 +123,32 @@ def _sketch(elements: np.ndarray, lengths: np.ndarray, registers: int) -> np.nda
     return best.reshape(-1, registers)
 
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, low long, high long, bands array<long>, marks binary"
+SKETCH_SCHEMA = "doc_id long, row long, t1 long, n_shingles long, name long, bands array<long>, marks binary"
+
+
+def _row_key(id_column: str, text: str) -> tuple:
+    """Names of a row (its id and text) and of its text, 64 bits each; together they tell rows apart."""
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return F.xxhash64(F.col(f"`{id_column}`").cast("long"), content), F.xxhash64(F.lit("text"), content)
+
+
+def named_rows(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text, row, t1 of every row."""
+    row, t1 = _row_key(id_column, text)
+    return documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), row.alias("row"), t1.alias("t1"))
 
 
 def sketches(documents: DataFrame, size: int, rows_each: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """For every row: set size, 128-bit name of the set, band keys, and a byte of each register."""
+    """For every row: its id, names of the row and of its text, set size, name of the set, band keys, and a byte of each register."""
     n_bands = REGISTERS // rows_each
 
     def sketched(batches):
-        for batch in W.pieces(batches, 1, CHUNK_BYTES):
-            elements, first = shingles(batch.column(1), size)
+        for batch in W.pieces(batches, 3, CHUNK_BYTES):
+            elements, first = shingles(batch.column(3), size)
             n = np.diff(first)
-            # Names of sets: sums over their elements, so they do not depend on order.
-            names = [W.segment_sums(W.seeded(elements, k).view(np.int64), first) for k in (1, 2)]
+            # Names of sets: from sums over their elements, so they do not depend on order.
+            low, high = (W.segment_sums(W.seeded(elements, k).view(np.int64), first).view(np.uint64) for k in (1, 2))
+            name = W.mix(W.mix(low + n.astype(np.uint64)) + high).view(np.int64)
             bits = np.ascontiguousarray(sketch(elements, first)).view(np.uint64)
             keys = np.zeros((len(n), n_bands), np.uint64)
             for r in range(rows_each):
@@ -141,19 +157,19 @@ def sketches(documents: DataFrame, size: int, rows_each: int, id_column: str = "
             marks = (W.mix(bits) & np.uint64(255)).astype(np.uint8)
             has = n > 0
             bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * n_bands)]), pa.int32()), pa.array(keys[has].reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, names), bands, pa.array([m.tobytes() for m in marks], pa.binary())], [c.split()[0] for c in SKETCH_SCHEMA.split(", ")])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n), pa.array(name), bands, pa.array([m.tobytes() for m in marks], pa.binary())], [c.split()[0] for c in SKETCH_SCHEMA.split(", ")])
 
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = named_rows(documents, id_column, text).select("doc_id", "row", "t1", "text")
     return rows.mapInArrow(sketched, SKETCH_SCHEMA)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The (a, b) pairs with 100 * intersection >= percent * union on their full sets.
 
-    pairs: a, b. texts: doc_id, text of every class that occurs.
+    pairs: a, b. texts: name, text of every class that occurs.
     """
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
 
     def checked(batches):
         for batch in batches:
@@ -222,20 +238,20 @@ BLOCK_KEY = ["bucket", "low", "high"]
 
 
 def open_members(members: DataFrame, percent: int) -> DataFrame:
-    """BLOCK_KEY, doc_id, component, partners: classes that may have a link across components.
+    """BLOCK_KEY, name, component, partners: classes that may have a link across components.
 
-    members: bucket, blocks (of its bucket), doc_id, component, bands, marks. A pair of blocks is
+    members: bucket, blocks (of its bucket), name, component, bands, marks. A pair of blocks is
     one group, so a bucket of g classes gives g * ceil(g / BLOCK) rows, not g * g. The partners of
     a class are those in its group that are in another component, share no earlier bucket with
     it, and have an estimate near the threshold; best estimates come first.
     """
-    placed = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = members.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = placed.select("*", other).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     least = (percent / 100 - MARGIN) * (1 - 1 / 256) + 1 / 256
 
     def compare(keys: tuple, rows: pa.Table) -> pa.Table:
-        ids, component = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
+        ids, component = rows["name"].to_numpy(), rows["component"].to_numpy()
         bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         marks = np.frombuffer(b"".join(rows["marks"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
         block = rows["block"].to_numpy()
@@ -261,10 +277,10 @@ def open_members(members: DataFrame, percent: int) -> DataFrame:
         keep = np.flatnonzero(involved)
         columns = [pa.array([k.as_py()] * len(keep), t) for k, t in zip(keys, (pa.int64(), pa.int32(), pa.int32()))]
         columns += [pa.array(ids[keep]), pa.array(component[keep]), pa.array([partners[i] for i in keep], pa.list_(pa.int64()))]
-        return pa.Table.from_arrays(columns, [*BLOCK_KEY, "doc_id", "component", "partners"])
+        return pa.Table.from_arrays(columns, [*BLOCK_KEY, "name", "component", "partners"])
 
-    schema = "bucket long, low int, high int, doc_id long, component long, partners array<long>"
-    return dealt.select(*BLOCK_KEY, "block", "doc_id", "component", "bands", "marks").groupBy(*BLOCK_KEY).applyInArrow(compare, schema)
+    schema = "bucket long, low int, high int, name long, component long, partners array<long>"
+    return dealt.select(*BLOCK_KEY, "block", "name", "component", "bands", "marks").groupBy(*BLOCK_KEY).applyInArrow(compare, schema)
 
 
 def open_links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -279,8 +295,8 @@ def open_links(members: DataFrame, texts: DataFrame, size: int, percent: int) ->
         for batch in W.pieces(rows.select(["text"]).to_batches(), 0, CHUNK_BYTES):
             elements, first = shingles(batch.column(0), size)
             sets += [elements[a:b] for a, b in zip(first, first[1:])]
-        ids, component = rows["doc_id"].to_pylist(), rows["component"].to_pylist()
-        place = {doc_id: k for k, doc_id in enumerate(ids)}
+        ids, component = rows["name"].to_pylist(), rows["component"].to_pylist()
+        place = {name: k for k, name in enumerate(ids)}
         parent = {c: c for c in component}
 
         def root(x: int) -> int:
@@ -299,42 +315,70 @@ def open_links(members: DataFrame, texts: DataFrame, size: int, percent: int) ->
                     b.append(partner)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return members.join(texts, "doc_id").groupBy(*BLOCK_KEY).applyInArrow(confirm, "a long, b long")
+    return members.join(texts, "name").groupBy(*BLOCK_KEY).applyInArrow(confirm, "a long, b long")
 
 
-def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``documents``."""
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    every = stored(sketches(rows, size, rows_of_band(percent)))
-    # Classes of equal sets, named by their smallest id; combined before the shuffle.
-    classes = every.where("n_shingles > 0").groupBy("n_shingles", "low", "high").agg(F.min("doc_id").alias("class"))
-    marked = every.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "bands", "marks").dropDuplicates(["doc_id"])
+def grouped(documents: DataFrame, size: int, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, row, t1, n_shingles, component (a name; null for an empty set), component_id of every row."""
+    rows = named_rows(documents, id_column, text)
+    every = stored(sketches(documents, size, rows_of_band(percent), id_column, text))
+    # Classes of equal sets, combined before the shuffle; one row of each stands for it.
+    classes = stored(every.where("n_shingles > 0").groupBy("name").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id")))
+    marked = every.where("n_shingles > 0").join(classes.select("row"), "row", "left_semi").select("name", "bands", "marks").dropDuplicates(["name"])
     marked = stored(marked)
 
-    keys = marked.select("doc_id", F.explode("bands").alias("bucket"))
-    buckets = keys.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = marked.select("name", F.explode("bands").alias("bucket"))
+    buckets = keys.groupBy("bucket").agg(F.min("name").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
     in_buckets = stored(keys.join(buckets.select("bucket", "centre", "n"), "bucket"))
-    shared = in_buckets.where("doc_id != centre").groupBy("doc_id", "centre").agg(F.count(F.lit(1)).alias("bands_shared"))
-    star = stored(shared.groupBy("doc_id").agg(F.max_by("centre", F.struct("bands_shared", -F.col("centre"))).alias("centre")).select(F.col("centre").alias("a"), F.col("doc_id").alias("b")))
-    named = in_buckets.select("doc_id").distinct()
-    texts = stored(rows.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    shared = in_buckets.where("name != centre").groupBy("name", "centre").agg(F.count(F.lit(1)).alias("bands_shared"))
+    # Of centres that share as many bands the greater name is taken.
+    star = stored(shared.groupBy("name").agg(F.max_by("centre", F.struct("bands_shared", "centre")).alias("centre")).select(F.col("centre").alias("a"), F.col("name").alias("b")))
+    standing = classes.join(in_buckets.select("name").distinct(), "name", "left_semi").select("row", "name")
+    texts = stored(rows.select("row", "text").join(standing, "row").dropDuplicates(["name"]).select("name", "text"))
     links = stored(verified(star, texts, size, percent))
     first = stored(components(links))
 
     # Buckets that still hold different components. The rows of one bucket are spread over SALTS
     # tasks; what is known of the bucket goes to each of them.
-    label, salt = F.coalesce("component", "doc_id"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
-    members = in_buckets.join(first, in_buckets["doc_id"] == first["node"], "left").select("bucket", salt, "doc_id", label.alias("component"))
+    label, salt = F.coalesce("component", "name"), F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int").alias("salt")
+    members = in_buckets.join(first, in_buckets["name"] == first["node"], "left").select("bucket", salt, "name", label.alias("component"))
     spans = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     unsettled = spans.where("x != y").select("bucket", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    members = members.join(unsettled, ["bucket", "salt"]).join(marked, "doc_id")
+    members = members.join(unsettled, ["bucket", "salt"]).join(marked, "name")
     more = stored(open_links(stored(open_members(members, percent)), texts, size, percent))
     final = components(links.union(more))
 
-    named_classes = classes.join(final, classes["class"] == final["node"], "left").select("n_shingles", "low", "high", F.coalesce("component", "class").alias("component_id"))
-    return (
-        every.select("doc_id", "n_shingles", "low", "high")
-        .join(named_classes, ["n_shingles", "low", "high"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    # The least id of each component; its classes, too, are spread over SALTS tasks to meet it.
+    tied = stored(classes.join(final, classes["name"] == final["node"]).select("name", salt, "component", "least_id"))
+    least = tied.groupBy("component").agg(F.min("least_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    tied = tied.join(least, ["component", "salt"]).select("name", "component", "component_id")
+    alone = classes.join(tied.select("name"), "name", "left_anti").select("name", F.col("name").alias("component"), F.col("least_id").alias("component_id"))
+    return every.select("doc_id", "row", "t1", "n_shingles", "name").join(tied.union(alone), "name", "left").select(
+        "doc_id", "row", "t1", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).alias("component"),
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def deduplicate(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``documents``."""
+    found = grouped(documents, size, percent, id_column, text)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, same columns, with one row of each component: that of the least id, null last, and of its least text.
+
+    Of rows that are equal in id and text one stays. Rows without words are linked with nothing and all stay.
+    """
+    found = stored(grouped(documents, size, percent, id_column, text).where("n_shingles > 0"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "row")
+    standing = found.groupBy("component").agg(F.min(order).alias("one")).select("one.row", "one.t1")
+    again = stored(found.groupBy("row", "t1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(standing, ["row", "t1"], "left_semi").select("row", "t1"))
+    out = found.select("row", "t1").join(standing, ["row", "t1"], "left_anti").distinct().union(again)
+    row, t1 = _row_key(id_column, text)
+    same = lambda names: (row == names["row"]) & (t1 == names["t1"])
+    kept = documents.join(out, same(out), "left_anti")
+    if again.isEmpty():
+        return kept
+    repeated = documents.join(again, same(again), "left_semi")
+    return kept.unionByName(repeated.dropDuplicates([id_column, text]))
