@@ -10,25 +10,26 @@ folder and read again as the next stage's ``docs``. All but the last return the
 4. secrets: secrets are replaced in ``text``; ``n_chars`` follows.
 5. tokens: SentencePiece ids with seeded merge-dropout.
 
-Rows with a null id pass stage 2, as nothing can name them; other stages do not look at ids.
+Stage 2 keeps one row of each group by what the rows hold, so that repeated and null ids are treated
+like any other: of a document and its copies the one with the least id stays (null last), of equal
+rows one. Rows without words pass it. Other stages do not look at ids.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillwise.llm import decontamination, merge_dropout, quality_classifier, secret_scan, superminhash
 from tillwise.llm.tables import shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_classifier.keep_quality(docs, quality_classifier.fit_quality(docs, table(spark, sf_dir, "labels")))
+    pooled = quality_classifier.pool_documents(docs)
+    return quality_classifier.keep_quality(docs, pooled, quality_classifier.fit_quality(pooled, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = superminhash.deduplicate(docs, size=5, percent=80).where(~F.col("kept")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return superminhash.one_of_each(docs, size=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
