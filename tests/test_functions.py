@@ -136,6 +136,37 @@ def test_no_task_sorts_more_than_the_bound(spark, monkeypatch, size):
     df.unpersist()
 
 
+def test_brackets_that_always_miss_are_spread_over_ranges(spark, monkeypatch):
+    """Every cut is refused, so all values stay in each bracket; no range passes the bound."""
+    monkeypatch.setattr(quantiles, "MOST_VALUES", 1_000)
+    monkeypatch.setattr(quantiles._Bracket, "holds", lambda self: False)
+    largest = []
+    original = quantiles.stage
+
+    def watched(df, label):
+        placed = original(df, label)
+        largest.append(placed.groupBy("bracket", "range").count().agg(F.max("count")).first()[0])
+        return placed
+
+    monkeypatch.setattr(quantiles, "stage", watched)
+    df = spark.range(30_000).select((F.rand(5) * 1e6).alias("v"), (F.col("id") % 11).alias("few")).cache()
+    values = df.toPandas()
+    found = exact_quantiles(df, ["v", "few"], [0.0, 0.25, 0.5, 1.0])
+    for column in ("v", "few"):
+        assert found[column] == pytest.approx(np.quantile(values[column], [0.0, 0.25, 0.5, 1.0]).tolist(), rel=1e-12)
+    assert len(largest) == 1 and largest[0] <= 1_000
+    df.unpersist()
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40])
+def test_running_sums_over_ranges_equal_one_sorted_pass(spark, ranges):
+    rows = pd.DataFrame({"g": [k % 3 if k < 250 else 9 for k in range(300)], "v": range(300)}).sample(frac=1, random_state=1)
+    rows["w"] = rows["v"] % 5 + 1
+    found = quantiles.ranked(spark.createDataFrame(rows), ["g", "v"], "w", ranges).toPandas()
+    wanted = rows.sort_values("v").assign(upto=lambda t: t.groupby("g")["w"].cumsum())
+    assert sorted(map(tuple, found[["g", "v", "w", "upto"]].values.tolist())) == sorted(map(tuple, wanted[["g", "v", "w", "upto"]].values.tolist()))
+
+
 def test_tier_table(spark):
     expected = {
         (r, f): (

@@ -9,16 +9,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.sources.staging import stage
+
 SKETCH_ACCURACY = 10_000
 
 #: Half width of a bracket as a share of the rows it is cut from: far wider than the
 #: sketch's own error.
 BRACKET_WIDTH = 20 / SKETCH_ACCURACY
 
-#: Distinct values of a bracket that one task sorts. Brackets are cut again until they
-#: have no more, whatever the size of the table.
+#: Distinct values that brackets are cut down to, and that one range of a bracket holds.
 MOST_VALUES = 20_000
 
+#: Cuts of a bracket that does not become narrower before its values are taken as they are.
+MOST_MISSES = 3
+
 
 @dataclass
 class _Bracket:
@@ -32,6 +36,7 @@ class _Bracket:
     inside: int = 0
     values: int = 0
     width: float = BRACKET_WIDTH
+    misses: int = 0
 
     def row(self) -> Column:
         value = F.col(self.column).cast("double")
@@ -53,7 +58,8 @@ def exact_quantiles(
     distinct values is cut again by a sketch of what is inside. Each round narrows a bracket
     to about ``2 * BRACKET_WIDTH`` of its rows, so the number of rounds grows with the
     logarithm of the table. Then the values inside, with their counts, are put in order, one
-    window partition of bounded size for each quantile.
+    window partition of bounded size for each quantile. A bracket that could not be cut is
+    put in order by ranges (``ranked``), as many as its values need.
 
     ``df`` is read twice a round: pass a stored table. Only a few numbers reach the driver.
     """
@@ -67,7 +73,7 @@ def exact_quantiles(
         for p in probabilities
     }
     wide = list(brackets)
-    while wide := [key for key in wide if brackets[key].values > MOST_VALUES]:
+    while wide := [key for key in wide if brackets[key].values > MOST_VALUES and brackets[key].misses < MOST_MISSES]:
         for key, cut in zip(wide, _cut(df, [brackets[key] for key in wide])):
             brackets[key] = cut
     found = _select(df, brackets)
@@ -101,11 +107,11 @@ def _cut(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
         cut.values = 1 if cut.low == cut.high else row[f"values_{i}"]
         if not cut.holds():
             b.width *= 10
+            b.misses += 1
             out.append(b)
-        elif cut.inside == b.inside:  # few values, each with many rows: nothing left to cut
-            cut.values = min(cut.values, MOST_VALUES)
-            out.append(cut)
         else:
+            # Nothing left to cut if no row fell out: few values, each with many rows.
+            cut.misses = MOST_MISSES if cut.inside == b.inside else 0
             out.append(cut)
     return out
 
@@ -117,7 +123,19 @@ def _select(df: DataFrame, brackets: dict) -> dict:
         F.struct(F.lit(i).alias("bracket"), brackets[key].row().alias("value"))
         for i, key in enumerate(keys)
     ]
-    running = Window.partitionBy("bracket").orderBy("value")
+    counted = (
+        df.select(F.explode(F.array(*entries)).alias("entry"))
+        .select("entry.bracket", "entry.value")
+        .filter(F.col("value").isNotNull())
+        .groupBy("bracket", "value")
+        .count()
+    )
+    if all(b.values <= MOST_VALUES for b in brackets.values()):
+        running = Window.partitionBy("bracket").orderBy("value")
+        ordered = counted.withColumn("upto", F.sum("count").over(running))
+    else:  # ranges of half the bound, as they are cut by a sample
+        ranges = 1 + 2 * sum(b.values for b in brackets.values()) // MOST_VALUES
+        ordered = ranked(counted, ["bracket", "value"], "count", ranges)
     ranks = {i: b.position - b.below for i, b in enumerate(brackets.values())}
 
     def value_at(rank_of) -> Column:
@@ -129,13 +147,7 @@ def _select(df: DataFrame, brackets: dict) -> dict:
         return F.min(F.coalesce(*cases))
 
     rows = (
-        df.select(F.explode(F.array(*entries)).alias("entry"))
-        .select("entry.bracket", "entry.value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("bracket", "value")
-        .count()
-        .withColumn("upto", F.sum("count").over(running))
-        .groupBy("bracket")
+        ordered.groupBy("bracket")
         .agg(value_at(math.floor).alias("lower"), value_at(math.ceil).alias("upper"))
         .collect()
     )
@@ -144,3 +156,30 @@ def _select(df: DataFrame, brackets: dict) -> dict:
         part = brackets[keys[row["bracket"]]].position % 1
         found[keys[row["bracket"]]] = row["lower"] + (row["upper"] - row["lower"]) * part
     return found
+
+
+def ranked(rows: DataFrame, keys: list[str], weight: str, ranges: int) -> DataFrame:
+    """``rows`` with ``upto``: the running sum of ``weight`` in the order of the last key, in each group of the others.
+
+    Rows go to ``ranges`` ranges of their keys (all of them unique). A range sums up its own rows,
+    and what the ranges before it hold of the group is added: one short row a range and group. So
+    a group of any size is spread over the ranges, and no task orders more than one range.
+    """
+    group, order = keys[:-1], keys[-1]
+    placed = stage(
+        rows.repartitionByRange(ranges, *keys).withColumn("range", F.spark_partition_id()), "ranges"
+    )
+    before = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(*group, "range")
+        .agg(F.sum(weight).alias("inside"))
+        .withColumn("offset", F.coalesce(F.sum("inside").over(before), F.lit(0)))
+        .drop("inside")
+    )
+    running = Window.partitionBy(*group, "range").orderBy(order)
+    return (
+        placed.withColumn("own", F.sum(weight).over(running))
+        .join(offsets, [*group, "range"])
+        .withColumn("upto", F.col("own") + F.col("offset"))
+        .drop("own", "offset", "range")
+    )
