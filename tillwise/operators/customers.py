@@ -1,7 +1,14 @@
-"""Order rows -> one feature row per customer."""
+"""Order rows -> one feature row per customer.
+
+Orders may come in parts that have no customer in common (``Orders``), as stored tables hold
+them: parts in buckets of the customer are aggregated without a shuffle.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +37,21 @@ FEATURE_COLUMNS = [
 ]
 
 
+Orders = DataFrame | Sequence[DataFrame]
+
+
+def each_part(orders: Orders, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``of`` makes of every part, together."""
+    parts = [orders] if isinstance(orders, DataFrame) else orders
+    return reduce(DataFrame.unionByName, [of(part) for part in parts])
+
+
 def _flag(condition: Column) -> Column:
     """0/1, with unknown as 0."""
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
-def purchase_gaps(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+def purchase_gaps(orders: Orders, config: AnalyticsConfig) -> DataFrame:
     """First and second order date per customer, cohort and days between the two dates.
 
     Order rows are ranked, so a second row on the first day is a second purchase with
@@ -43,6 +59,18 @@ def purchase_gaps(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
     the shuffle, which keeps a customer with a huge share of all orders harmless. Ties
     inside a day need no further sort key, because only the date survives.
     """
+    gap = F.date_diff("second_order_date", "first_order_date")
+    return each_part(orders, _first_two_dates).withColumns(
+        {
+            "cohort_month": month_key(F.col("first_order_date")),
+            "time_to_second_order_days": gap,
+            "had_repeat_within_30d": _flag(gap <= config.repeat_days),
+            "made_second_purchase": _flag(F.col("second_order_date").isNotNull()),
+        }
+    )
+
+
+def _first_two_dates(orders: DataFrame) -> DataFrame:
     by_date = Window.partitionBy("customer_id").orderBy("order_date")
     first_two = (
         orders.filter(F.col("customer_id").isNotNull())
@@ -53,18 +81,8 @@ def purchase_gaps(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
     def date_at(rank: int) -> Column:
         return F.max(F.when(F.col("order_rank") == rank, F.col("order_date")))
 
-    gap = F.date_diff("second_order_date", "first_order_date")
-    return (
-        first_two.groupBy("customer_id")
-        .agg(date_at(1).alias("first_order_date"), date_at(2).alias("second_order_date"))
-        .withColumns(
-            {
-                "cohort_month": month_key(F.col("first_order_date")),
-                "time_to_second_order_days": gap,
-                "had_repeat_within_30d": _flag(gap <= config.repeat_days),
-                "made_second_purchase": _flag(F.col("second_order_date").isNotNull()),
-            }
-        )
+    return first_two.groupBy("customer_id").agg(
+        date_at(1).alias("first_order_date"), date_at(2).alias("second_order_date")
     )
 
 
@@ -79,25 +97,26 @@ def most_frequent(rows: DataFrame, key: str, value: str, name: str) -> DataFrame
     return counts.groupBy(key).agg(F.min(ranked)["value"].alias(name))
 
 
-def customer_totals(orders: DataFrame) -> DataFrame:
+def customer_totals(orders: Orders) -> DataFrame:
     """Last order, distinct invoices, items and revenue per customer.
 
     The distinct count makes Spark combine and shuffle on (customer, invoice) first and
     only then, combined again per task, on the customer: no customer is a hot key.
     """
-    return (
-        orders.filter(F.col("customer_id").isNotNull())
+    return each_part(
+        orders,
+        lambda part: part.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
             F.max("order_date").alias("last_order_date"),
             F.count_distinct("invoice").alias("total_orders"),
             F.sum("total_items").alias("total_items"),
             total_money(F.col("total_revenue")).alias("revenue"),
-        )
+        ),
     )
 
 
-def customer_value(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+def customer_value(orders: Orders, config: AnalyticsConfig) -> DataFrame:
     """Totals, recency and churn, one row per customer: what scores and tiers need.
 
     One aggregate, which reads ``orders`` once.
@@ -116,20 +135,27 @@ def customer_value(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
     )
 
 
-def add_history(value: DataFrame, orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+def add_history(value: DataFrame, orders: Orders, config: AnalyticsConfig) -> DataFrame:
     """Country and purchase gaps added to rows that are unique on the customer.
 
     Two more narrow aggregates over the orders, each with its own skew-safe shuffle, joined
     on the customer they all end up partitioned by: pass stored orders.
     """
-    country = most_frequent(orders, "customer_id", "country", "country")
+    country = each_part(
+        orders, lambda part: most_frequent(part, "customer_id", "country", "country")
+    )
     gaps = purchase_gaps(orders, config)
     return value.join(country, "customer_id", "left").join(gaps, "customer_id", "left")
 
 
-def customer_features(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
-    """Purchase history, value and churn, one row per customer (reads ``orders`` thrice)."""
-    return add_history(customer_value(orders, config), orders, config).select(*FEATURE_COLUMNS)
+def customer_features(orders: Orders, config: AnalyticsConfig) -> DataFrame:
+    """Purchase history, value and churn, one row per customer (reads ``orders`` thrice).
+
+    Each part is joined for itself, so that parts in buckets of the customer stay where they are.
+    """
+    return each_part(
+        orders, lambda part: add_history(customer_value(part, config), part, config)
+    ).select(*FEATURE_COLUMNS)
 
 
 def add_return_flag(customers: DataFrame, cancellations: DataFrame) -> DataFrame:

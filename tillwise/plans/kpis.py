@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwise.config import AnalyticsConfig
 from tillwise.functions import lines as L
 from tillwise.functions.numbers import rate_pct
+from tillwise.operators.customers import Orders, each_part
 from tillwise.operators.lines import LINE_CLASS
 from tillwise.plans.reports import DAY, IDENTIFIED, WEEK
 
@@ -130,14 +131,14 @@ def line_audit(lines: DataFrame) -> DataFrame:
     return _as_rows(lines.agg(*line_counts()))
 
 
-def customer_audit(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+def customer_audit(orders: Orders, config: AnalyticsConfig) -> DataFrame:
     """Order rows, customers and overall churn, from one pass over the orders."""
     recency = F.date_diff(F.lit(config.as_of), F.col("last_order_date"))
+    measures = [
+        F.count(F.lit(1)).alias("order_rows"), F.max("order_date").alias("last_order_date")
+    ]
     return _as_rows(
-        orders.groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("order_rows"), F.max("order_date").alias("last_order_date")
-        )
+        each_part(orders, lambda part: part.groupBy("customer_id").agg(*measures))
         .agg(
             F.sum("order_rows").alias("order_rows"),
             F.count("customer_id").alias("customers"),
@@ -146,6 +147,6 @@ def customer_audit(orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
     )
 
 
-def pipeline_audit(lines: DataFrame, orders: DataFrame, config: AnalyticsConfig) -> DataFrame:
+def pipeline_audit(lines: DataFrame, orders: Orders, config: AnalyticsConfig) -> DataFrame:
     """Counts of labelled lines, orders and customers, and overall churn."""
     return line_audit(lines).unionByName(customer_audit(orders, config))

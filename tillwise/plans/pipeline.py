@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwise import schemas
 from tillwise.config import AnalyticsConfig
-from tillwise.operators.customers import add_history, add_return_flag, customer_value
+from tillwise.operators.customers import Orders, add_history, add_return_flag, customer_value
 from tillwise.operators.lines import (
     LINE_CLASS,
     clean_transactions,
@@ -20,17 +20,20 @@ from tillwise.operators.lines import (
 from tillwise.operators.orders import build_orders
 from tillwise.operators.rfm import add_rfm, quartile_edges
 from tillwise.plans.kpis import customer_audit, line_counts
-from tillwise.plans.reports import CATALOG
+from tillwise.plans.reports import CATALOG, customer_groups
 from tillwise.sources.reports import write_report
 from tillwise.sources.staging import released_after, stage, staging_folder
 from tillwise.sources.tables import (
     RetailTables,
+    hot_customers,
     new_version,
+    order_parts,
     publish,
     read_tables,
     read_version,
+    write_customers,
     write_line_tables,
-    write_table,
+    write_orders,
 )
 
 #: Columns of labelled lines that orders, returns, shares and counts are made from.
@@ -66,7 +69,7 @@ def cancellations_of_lines(lines: DataFrame) -> DataFrame:
 
 
 def scored_customers(
-    orders: DataFrame, config: AnalyticsConfig, staging: str | None = None
+    orders: Orders, config: AnalyticsConfig, staging: str | None = None
 ) -> DataFrame:
     """Customer values with scores and tier; reads ``orders`` once.
 
@@ -78,7 +81,7 @@ def scored_customers(
 
 
 def build_customers(
-    orders: DataFrame,
+    orders: Orders,
     cancellations: DataFrame,
     config: AnalyticsConfig,
     staging: str | None = None,
@@ -106,11 +109,13 @@ def build_tables(
     lines = label_lines(raw).observe(seen, *line_counts())
     with released_after(spark):
         write_line_tables(lines.filter(F.col(LINE_CLASS).isNotNull()), version)
-        write_table(build_orders(read_version(spark, version, "transactions")), version, "orders")
-        orders = read_version(spark, version, "orders")
+        transactions = read_version(spark, version, "transactions")
+        hot = stage(hot_customers(transactions), "hot-customers", staging)
+        write_orders(build_orders(transactions), version, hot)
+        orders = order_parts(spark, version)
         cancellations = read_version(spark, version, "cancellations")
         customers = build_customers(orders, cancellations, config, staging)
-        write_table(customers, version, "customers")
+        write_customers(customers, version)
         counts = [
             F.struct(F.lit(k).alias("metric"), F.lit(float(v)).alias("value"))
             for k, v in seen.get.items()
@@ -122,13 +127,21 @@ def build_tables(
     return read_tables(spark, folder)
 
 
-def run_reports(tables: RetailTables, folder: str, config: AnalyticsConfig) -> dict[str, int]:
-    """Write every catalogued report in name order; row counts come with the write."""
+def run_reports(
+    tables: RetailTables, folder: str, config: AnalyticsConfig, staging: str | None = None
+) -> dict[str, int]:
+    """Write every catalogued report in name order; row counts come with the write.
+
+    What the reports take from the customers is counted for all of them in one pass and staged.
+    """
+    spark = tables.customers.sparkSession
     rows = {}
-    for name in sorted(CATALOG):
-        # A fresh name per run, so that repeated runs do not share a counter.
-        seen = Observation(f"{name}-{uuid4().hex}")
-        report = CATALOG[name](tables, config).observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_report(report, folder, name)
-        rows[name] = seen.get["rows"]
+    with released_after(spark):
+        groups = stage(customer_groups(tables.customers), "customer-groups", staging)
+        for name in sorted(CATALOG):
+            # A fresh name per run, so that repeated runs do not share a counter.
+            seen = Observation(f"{name}-{uuid4().hex}")
+            report = CATALOG[name](tables, config, groups)
+            write_report(report.observe(seen, F.count(F.lit(1)).alias("rows")), folder, name)
+            rows[name] = seen.get["rows"]
     return rows

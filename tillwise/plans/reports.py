@@ -21,7 +21,7 @@ from tillwise.functions.numbers import (
     share_pct,
     total_money,
 )
-from tillwise.sources.tables import RetailTables
+from tillwise.operators.customers import Orders, each_part
 
 # Lowest rounded churn percentage of each risk level, highest first.
 RISK_LEVELS = [(80, "Critical"), (50, "High"), (25, "Moderate")]
@@ -48,23 +48,80 @@ def _shaped(report: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _retention_measures() -> list[Column]:
-    retained = 1 - F.col("churned")
-    return [
-        F.count(F.lit(1)).alias("total_customers"),
-        F.sum(retained).alias("retained_customers"),
-        rate_pct(retained).alias("retention_pct"),
+def _repeat_bucket() -> Column:
+    """Label and place of a customer's gap to the second purchase."""
+    gap = F.col("time_to_second_order_days")
+    last = len(REPEAT_BUCKETS) + 2
+    label, place = F.lit(LATE_REPEAT), F.lit(last)
+    for position, (upper_end, name) in reversed(list(enumerate(REPEAT_BUCKETS, start=2))):
+        label = F.when(gap <= upper_end, name).otherwise(label)
+        place = F.when(gap <= upper_end, position).otherwise(place)
+    none = F.col("made_second_purchase") == 0
+    return _label(F.when(none, NO_REPEAT).otherwise(label), F.when(none, 1).otherwise(place))
+
+
+def _order_count() -> Column:
+    count = F.least(F.col("frequency"), F.lit(TOP_ORDER_COUNT))
+    text = F.when(count == TOP_ORDER_COUNT, TOP_ORDER_LABEL).otherwise(count.cast("string"))
+    return _label(text, count)
+
+
+def _label(text: Column, place: Column | None = None) -> Column:
+    place = F.lit(None) if place is None else place
+    return F.struct(text.alias("label"), place.cast("bigint").alias("sort_order"))
+
+
+#: The group of a customer in each report that counts customers by groups.
+CUSTOMER_LABELS: dict[str, Callable[[], Column]] = {
+    "churn_by_rfm_tier": lambda: _label(F.col("rfm_tier")),
+    "cohort_retention": lambda: _label(F.col("cohort_month")),
+    "time_to_second_purchase": _repeat_bucket,
+    "order_frequency_aha": _order_count,
+    "returns_analysis": lambda: _label(
+        F.when(F.col("had_return") == 1, RETURNER).otherwise(NO_RETURNS)
+    ),
+}
+
+
+def customer_groups(
+    customers: DataFrame, names: Sequence[str] = tuple(CUSTOMER_LABELS)
+) -> DataFrame:
+    """Counts, churn and value of every group of every named report, from one pass.
+
+    A customer becomes one row for each report, and these combine to one row a group in the task
+    that reads them; as many rows come out as the reports have labels.
+    """
+    entries = [
+        F.struct(F.lit(name).alias("report"), CUSTOMER_LABELS[name]().alias("group"))
+        for name in names
     ]
+    retained = 1 - F.col("churned")
+    return (
+        customers.select("churned", "monetary", "frequency", F.inline(F.array(*entries)))
+        .select("churned", "monetary", "frequency", "report", "group.label", "group.sort_order")
+        .groupBy("report", "label", "sort_order")
+        .agg(
+            F.count(F.lit(1)).alias("total_customers"),
+            F.sum("churned").alias("churned_customers"),
+            rate_pct(F.col("churned")).alias("churn_rate_pct"),
+            F.sum(retained).alias("retained_customers"),
+            rate_pct(retained).alias("retention_pct"),
+            rounded(mean_money(F.col("monetary")), 2).alias("mean_revenue"),
+            rounded(F.avg("frequency"), 1).alias("avg_orders"),
+        )
+    )
+
 
+def _groups(customers: DataFrame, groups: DataFrame | None, name: str) -> DataFrame:
+    """One report's groups, out of those of all reports if they are there already."""
+    found = customer_groups(customers, (name,)) if groups is None else groups
+    return found.filter(F.col("report") == name)
 
-def churn_by_rfm_tier(customers: DataFrame) -> DataFrame:
+
+def churn_by_rfm_tier(customers: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Churn, value and order count per tier, worst churn first."""
-    tiers = customers.groupBy("rfm_tier").agg(
-        F.count(F.lit(1)).alias("total_customers"),
-        F.sum("churned").alias("churned_customers"),
-        rate_pct(F.col("churned")).alias("churn_rate_pct"),
-        rounded(mean_money(F.col("monetary")), 2).alias("avg_revenue_per_customer"),
-        rounded(F.avg("frequency"), 1).alias("avg_orders"),
+    tiers = _groups(customers, groups, "churn_by_rfm_tier").withColumnsRenamed(
+        {"label": "rfm_tier", "mean_revenue": "avg_revenue_per_customer"}
     )
     # The level is read off the rounded percentage.
     risk = F.lit(LOWEST_RISK)
@@ -76,27 +133,38 @@ def churn_by_rfm_tier(customers: DataFrame) -> DataFrame:
 
 
 def cohort_retention(
-    customers: DataFrame, orders: DataFrame, config: AnalyticsConfig
+    customers: DataFrame,
+    orders: Orders,
+    config: AnalyticsConfig,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Share of each first-purchase-month cohort that orders again per month offset.
 
     Orders shrink to distinct customer days before the join, so the heaviest customer
     brings at most one row per calendar day to it. After the join the customer key stays
-    in place: the distinct step per offset needs no further shuffle of its own.
+    in place: the distinct step per offset needs no further shuffle of its own. Where
+    customers and orders are stored in the same buckets, the join needs none either.
     """
     cohorts = customers.select("customer_id", "cohort_month", "first_order_date")
-    sizes = cohorts.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
+    if groups is None:
+        sizes = cohorts.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
+    else:
+        sizes = _groups(customers, groups, "cohort_retention").select(
+            F.col("label").alias("cohort_month"), F.col("total_customers").alias("cohort_size")
+        )
     offset = month_offset(F.col("order_date"), F.col("first_order_date"), config.days_per_month)
-    retained = (
-        orders.select("customer_id", "order_date")
+    active = each_part(
+        orders,
+        lambda part: part.select("customer_id", "order_date")
         .distinct()
         .join(cohorts, "customer_id")
         .withColumn("months_since_first", offset)
         .filter(F.col("months_since_first").between(0, config.max_month_offset))
         .select("customer_id", "cohort_month", "months_since_first")
-        .distinct()
-        .groupBy("cohort_month", "months_since_first")
-        .agg(F.count(F.lit(1)).alias("active_customers"))
+        .distinct(),
+    )
+    retained = active.groupBy("cohort_month", "months_since_first").agg(
+        F.count(F.lit(1)).alias("active_customers")
     )
     report = retained.join(sizes, "cohort_month").withColumn(
         "retention_pct", share_pct(F.col("active_customers"), F.col("cohort_size"))
@@ -147,45 +215,17 @@ def activity_trend(orders: DataFrame, granularities: Sequence[str] = (DAY, WEEK)
     return _shaped(report, "activity_trend").orderBy("granularity", "period")
 
 
-def time_to_second_purchase(customers: DataFrame) -> DataFrame:
+def time_to_second_purchase(customers: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Retention by how soon the second purchase came."""
-    gap = F.col("time_to_second_order_days")
-    bucket = F.struct(
-        F.lit(len(REPEAT_BUCKETS) + 2).alias("sort_order"), F.lit(LATE_REPEAT).alias("label")
-    )
-    for position, (upper_end, label) in reversed(list(enumerate(REPEAT_BUCKETS, start=2))):
-        named = F.struct(F.lit(position).alias("sort_order"), F.lit(label).alias("label"))
-        bucket = F.when(gap <= upper_end, named).otherwise(bucket)
-    none = F.struct(F.lit(1).alias("sort_order"), F.lit(NO_REPEAT).alias("label"))
-    bucket = F.when(F.col("made_second_purchase") == 0, none).otherwise(bucket)
-
-    report = (
-        customers.select("churned", bucket.alias("bucket"))
-        .select(
-            "churned",
-            F.col("bucket.label").alias("repeat_bucket"),
-            F.col("bucket.sort_order").alias("sort_order"),
-        )
-        .groupBy("repeat_bucket", "sort_order")
-        .agg(*_retention_measures())
-    )
+    report = _groups(customers, groups, "time_to_second_purchase")
+    report = report.withColumnRenamed("label", "repeat_bucket")
     return _shaped(report, "time_to_second_purchase").orderBy("sort_order")
 
 
-def order_frequency_aha(customers: DataFrame) -> DataFrame:
+def order_frequency_aha(customers: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Retention by lifetime order count, high counts pooled."""
-    position = F.least(F.col("frequency"), F.lit(TOP_ORDER_COUNT))
-    report = (
-        customers.select("churned", position.alias("sort_order"))
-        .groupBy("sort_order")
-        .agg(*_retention_measures())
-        .withColumn(
-            "lifetime_orders",
-            F.when(F.col("sort_order") == TOP_ORDER_COUNT, TOP_ORDER_LABEL).otherwise(
-                F.col("sort_order").cast("string")
-            ),
-        )
-    )
+    report = _groups(customers, groups, "order_frequency_aha")
+    report = report.withColumnRenamed("label", "lifetime_orders")
     return _shaped(report, "order_frequency_aha").orderBy("sort_order")
 
 
@@ -238,28 +278,30 @@ def anonymous_share(lines: DataFrame) -> DataFrame:
     )
 
 
-def returns_analysis(customers: DataFrame) -> DataFrame:
+def returns_analysis(customers: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Retention and value of customers with and without a return."""
-    group = F.when(F.col("had_return") == 1, RETURNER).otherwise(NO_RETURNS)
-    report = customers.groupBy(group.alias("returner_group")).agg(
-        *_retention_measures(),
-        rounded(mean_money(F.col("monetary")), 2).alias("avg_lifetime_revenue"),
-        rounded(F.avg("frequency"), 1).alias("avg_orders"),
+    report = _groups(customers, groups, "returns_analysis").withColumnsRenamed(
+        {"label": "returner_group", "mean_revenue": "avg_lifetime_revenue"}
     )
     return _shaped(report, "returns_analysis").orderBy("returner_group")
 
 
-Report = Callable[[RetailTables, AnalyticsConfig], DataFrame]
+#: A report of the tables, and of their ``customer_groups`` if these were counted before.
+Report = Callable[..., DataFrame]
 
 # In publication order.
 CATALOG: dict[str, Report] = {
-    "churn_by_rfm_tier": lambda t, _: churn_by_rfm_tier(t.customers),
-    "cohort_retention": lambda t, c: cohort_retention(t.customers, t.orders, c),
-    "activity_trend": lambda t, _: activity_trend(t.orders),
-    "time_to_second_purchase": lambda t, _: time_to_second_purchase(t.customers),
-    "order_frequency_aha": lambda t, _: order_frequency_aha(t.customers),
-    "anonymous_share": lambda t, _: anonymous_share(
+    "churn_by_rfm_tier": lambda t, _, groups=None: churn_by_rfm_tier(t.customers, groups),
+    "cohort_retention": lambda t, c, groups=None: cohort_retention(
+        t.customers, t.order_parts or t.orders, c, groups
+    ),
+    "activity_trend": lambda t, _, groups=None: activity_trend(t.orders),
+    "time_to_second_purchase": lambda t, _, groups=None: time_to_second_purchase(
+        t.customers, groups
+    ),
+    "order_frequency_aha": lambda t, _, groups=None: order_frequency_aha(t.customers, groups),
+    "anonymous_share": lambda t, _, groups=None: anonymous_share(
         t.transactions.unionByName(t.anonymous_tx)
     ),
-    "returns_analysis": lambda t, _: returns_analysis(t.customers),
+    "returns_analysis": lambda t, _, groups=None: returns_analysis(t.customers, groups),
 }

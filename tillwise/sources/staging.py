@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,9 @@ LOCAL_FOLDER = "/tmp/checkpoints"
 
 _staged: list[str] = []
 
+#: What was staged inside the innermost ``released_after`` of this thread.
+_inside: ContextVar[list[str] | None] = ContextVar("inside", default=None)
+
 
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one for local sessions only."""
@@ -33,6 +37,8 @@ def new_folder(spark: SparkSession, label: str, folder: str | None = None) -> st
     """A fresh path that ``release`` will remove."""
     path = f"{(folder or staging_folder(spark)).rstrip('/')}/{label}-{uuid4().hex}"
     _staged.append(path)
+    if (inside := _inside.get()) is not None:
+        inside.append(path)
     return path
 
 
@@ -47,20 +53,22 @@ def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, kept: int = 0) -> None:
-    """Remove what this process has staged, but for the first ``kept`` paths.
-
-    Plans that read the removed tables are used up.
-    """
-    while len(_staged) > kept:
+def release(spark: SparkSession) -> None:
+    """Remove what this process has staged; plans that read the removed tables are used up."""
+    while _staged:
         delete(spark, _staged.pop())
 
 
 @contextmanager
 def released_after(spark: SparkSession) -> Iterator[None]:
-    """Remove, at the end, what was staged inside."""
-    kept = len(_staged)
+    """Remove, at the end, what was staged inside; other threads keep what is theirs."""
+    inside: list[str] = []
+    outer = _inside.set(inside)
     try:
         yield
     finally:
-        release(spark, kept)
+        _inside.reset(outer)
+        for path in inside:
+            if path in _staged:
+                _staged.remove(path)
+                delete(spark, path)
