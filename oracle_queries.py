@@ -376,6 +376,35 @@ TABLE_CHECKS = {
     ),
 }
 
+
+
+def _breakdown(key: str, name: str) -> tuple[list[str], str]:
+    """Identified and anonymous lines and revenue by a key, and the anonymous shares."""
+    share = (
+        "CAST(ROUND(CAST(100.0::DOUBLE * anonymous_{0} / NULLIF(anonymous_{0} + identified_{0}, 0)"
+        " AS DECIMAL(38,10)), 1) AS DOUBLE) AS pct_anonymous_{0}"
+    )
+    return (
+        ["lines", "sales"],
+        f"""
+        SELECT *, {share.format("lines")}, {share.format("revenue")}
+        FROM (SELECT {key} AS {name},
+                     COUNT(*) FILTER (WHERE customer_id IS NOT NULL) AS identified_lines,
+                     CAST(ROUND(COALESCE(SUM(amount) FILTER (WHERE customer_id IS NOT NULL), 0), 2)
+                          AS DOUBLE) AS identified_revenue,
+                     COUNT(*) FILTER (WHERE customer_id IS NULL) AS anonymous_lines,
+                     CAST(ROUND(COALESCE(SUM(amount) FILTER (WHERE customer_id IS NULL), 0), 2)
+                          AS DOUBLE) AS anonymous_revenue
+              FROM (SELECT country, invoice_date, customer_id, amount FROM sales
+                    UNION ALL
+                    SELECT country, invoice_date, NULL, amount FROM lines
+                    WHERE customer_id IS NULL AND quantity > 0 AND price > 0
+                      AND invoice NOT ILIKE 'C%')
+              GROUP BY 1)
+        """,
+    )
+
+
 # Query name -> (steps, final SELECT).
 FINALS: dict[str, tuple[list[str], str]] = {
     "raw_csv_feed": (
@@ -402,6 +431,7 @@ FINALS: dict[str, tuple[list[str], str]] = {
         """,
     ),
     "customer_features": (["features"], "SELECT * FROM features"),
+    "stored_customer_features": (["features"], "SELECT * FROM features"),
     "rfm_scores": (
         ["tiers"],
         """
@@ -432,6 +462,8 @@ FINALS: dict[str, tuple[list[str], str]] = {
     "time_to_second_purchase": (["second_report"], "SELECT * FROM second_report"),
     "order_frequency_aha": (["count_report"], "SELECT * FROM count_report"),
     "anonymous_share": (["share_report"], "SELECT * FROM share_report"),
+    "anonymous_by_country": _breakdown("country", "country"),
+    "anonymous_by_month": _breakdown("strftime(invoice_date, '%Y-%m')", "month"),
     "returns_analysis": (["returns_report"], "SELECT * FROM returns_report"),
     "cohort_matrix_pivot": (
         ["cohort_report"],

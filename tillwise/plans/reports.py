@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillwise import schemas
 from tillwise.config import AnalyticsConfig
 from tillwise.functions import lines as L
-from tillwise.functions.calendar import day_key, month_offset, week_key
+from tillwise.functions.calendar import day_key, month_key, month_offset, week_key
 from tillwise.functions.numbers import (
     MONEY,
     mean_money,
@@ -264,18 +264,58 @@ def share_of_lines(lines: DataFrame) -> DataFrame:
     return _shaped(report, "anonymous_share")
 
 
+def _counted_lines(lines: DataFrame) -> DataFrame:
+    """Lines that shares are taken of, labelled by ``customer_type``.
+
+    What all counted lines share is filtered first, as plain comparisons that reach the scan.
+    """
+    label = F.when(L.is_anonymous(), ANONYMOUS).otherwise(IDENTIFIED)
+    counted = lines.filter(L.is_priced_sale()).filter(L.is_countable_invoice())
+    return counted.withColumns({"revenue": L.line_revenue(), "customer_type": label})
+
+
 def anonymous_share(lines: DataFrame) -> DataFrame:
     """How much of lines and revenue carries no customer id.
 
     ``lines`` is the raw feed or the union of the stored sales and anonymous lines; both
-    give the same result. What all counted lines share is filtered first, as plain
-    comparisons that reach the scan.
+    give the same result.
     """
-    label = F.when(L.is_anonymous(), ANONYMOUS).otherwise(IDENTIFIED)
-    counted = lines.filter(L.is_priced_sale()).filter(L.is_countable_invoice())
-    return share_of_lines(
-        counted.select(L.line_revenue().alias("revenue"), label.alias("customer_type"))
-    )
+    return share_of_lines(_counted_lines(lines).select("revenue", "customer_type"))
+
+
+def anonymous_breakdown(lines: DataFrame, by: Column, name: str) -> DataFrame:
+    """Identified and anonymous lines and revenue for each value of ``by``, and the anonymous share.
+
+    Shows whether lines without a customer id cluster somewhere. One aggregate that combines in
+    the task that reads; a value with most of the lines costs no more than others. Lines without
+    the value are a group of their own (NULL).
+    """
+    measures = []
+    for label in (IDENTIFIED, ANONYMOUS):
+        mine = F.col("customer_type") == label
+        revenue = F.coalesce(total_money(F.when(mine, F.col("revenue"))), F.lit(0))
+        measures += [
+            F.count_if(mine).alias(f"{label.lower()}_lines"),
+            rounded(revenue, 2).alias(f"{label.lower()}_revenue"),
+        ]
+    groups = _counted_lines(lines).groupBy(by.alias(name)).agg(*measures)
+
+    def share(of: str) -> Column:
+        mine, other = F.col(f"anonymous_{of}"), F.col(f"identified_{of}")
+        return share_pct(mine, mine + other).alias(f"pct_anonymous_{of}")
+
+    return groups.select("*", share("lines"), share("revenue"))
+
+
+def anonymous_by_country(lines: DataFrame) -> DataFrame:
+    """Where lines without a customer id come from, most of them first."""
+    report = anonymous_breakdown(lines, F.col("country"), "country")
+    return report.orderBy(F.desc("anonymous_lines"), "country")
+
+
+def anonymous_by_month(lines: DataFrame) -> DataFrame:
+    """Monthly volume with and without a customer id."""
+    return anonymous_breakdown(lines, month_key(F.col("invoice_date")), "month").orderBy("month")
 
 
 def returns_analysis(customers: DataFrame, groups: DataFrame | None = None) -> DataFrame:
