@@ -41,7 +41,7 @@ from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, pack, tree_sum
 
 #: Labelled rows counted for each class, in hash order, and the most bytes of text they may hold.
 FIT_ROWS = 4_000
-FIT_BYTES = 64 << 20
+FIT_BYTES = 16 << 20
 #: Labelled rows of the calibration, in hash order, apart from the counted ones.
 CALIBRATION_ROWS = 4_000
 CALIBRATION_SHARE = 5
@@ -240,30 +240,41 @@ def absolute_discount(counts: np.ndarray) -> float:
     return max(once / max(once + 2 * twice, 1), 0.1)
 
 
-def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray, stem: np.ndarray, counts: np.ndarray, order: np.ndarray) -> ClassModel:
-    """before, word, stem: places of all pairs' parts in the lexicon; order: the pairs as the lexicon lists them."""
+def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray, stem: np.ndarray, counts: np.ndarray) -> ClassModel:
+    """before, word, stem: places of all pairs' parts in the lexicon, in the order of its pairs."""
     there = counts > 0
     of_pair = absolute_discount(counts)
     context = np.bincount(before, counts, n_words)
-    taken = np.bincount(before, np.minimum(counts, of_pair), n_words)
-    pair = np.append(np.maximum(counts[order] - of_pair, 0) / np.maximum(context[before[order]], 1), 0).astype(np.float32)
+    taken = np.bincount(before, np.minimum(counts, np.float32(of_pair)), n_words)
+    pair = np.zeros(len(counts) + 1, np.float32)
+    np.maximum(counts - np.float32(of_pair), 0, out=pair[:-1])
+    pair[:-1] /= np.maximum(context, 1).astype(np.float32)[before]
     backoff = np.append(np.where(context > 0, taken / np.maximum(context, 1), 1), 1).astype(np.float32)
     words, stems = np.bincount(word[there], minlength=n_words), np.bincount(stem[there], minlength=n_stems)
     return ClassModel(pair, backoff, *_discounted(words, absolute_discount(words)), *_discounted(stems, absolute_discount(stems)))
 
 
 def fit_classes(counted: pa.Table) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
-    """Both classes' models from the counts of pairs."""
-    keys = {c: counted[c].to_numpy().view(np.uint64) for c in ("before", "word", "stem")}
-    words, stems = np.unique(np.concatenate([keys["before"], keys["word"]])), np.unique(keys["stem"])
-    places = [np.searchsorted(listed, keys[c]).astype(np.int32) for c, listed in (("before", words), ("word", words), ("stem", stems))]
-    pairs = pair_hash(keys["before"], keys["word"])
-    order = np.argsort(pairs)
-    both = tuple(class_model(len(words), len(stems), *places, counted[c].to_numpy(), order) for c in ("toxic", "ordinary"))
+    """Both classes' models from the counts of pairs.
+
+    The greatest arrays of the driver are made here; each is given up as soon as the next is there.
+    """
+    before, word, stem = (counted[c].to_numpy().view(np.uint64) for c in ("before", "word", "stem"))
+    counts = [counted[c].to_numpy() for c in ("toxic", "ordinary")]
+    del counted
+    pairs = pair_hash(before, word)
+    order = np.argsort(pairs).astype(np.int32)
+    pairs = pairs[order]
+    words = np.unique(np.concatenate([np.unique(before), np.unique(word)]))
+    stems = np.unique(stem)
+    before = np.searchsorted(words, before).astype(np.int32)[order]
+    word = np.searchsorted(words, word).astype(np.int32)[order]
+    stem = np.searchsorted(stems, stem).astype(np.int32)[order]
     stem_of_word = np.full(len(words), len(stems))
-    stem_of_word[places[1]] = places[2]
+    stem_of_word[word] = stem
+    both = tuple(class_model(len(words), len(stems), before, word, stem, c[order]) for c in counts)
     nothing = np.ones(1)
-    return without_idle(Lexicon(pairs[order], words, stems, stem_of_word, nothing, nothing), [both])
+    return without_idle(Lexicon(pairs, words, stems, stem_of_word, nothing, nothing), [both])
 
 
 def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]]) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
