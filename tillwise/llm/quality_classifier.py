@@ -50,8 +50,8 @@ EPOCHS = 60
 #: Counts of units pooled at a time.
 CHUNK = 1 << 16
 N_FEATURES = 3 * DIM + 3
-#: Values of a unit vector are stored as whole 127ths.
-SCALE = 127
+#: Values of a unit vector are stored as whole 31sts: a document averages hundreds of them.
+SCALE = 31
 
 SENT_SCHEMA = "block long, bucket int, adds boolean, asks boolean, payload binary"
 TOLD_SCHEMA = "block long, bucket int, payload binary"
@@ -151,7 +151,7 @@ def unpack_sums(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unit_length(sums: np.ndarray) -> np.ndarray:
-    """Context vectors from sums, in 127ths."""
+    """Context vectors from sums, in whole parts of SCALE."""
     length = np.sqrt((sums.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
     return np.rint(SCALE * sums / np.maximum(length, 1)).astype(np.int8)
 
