@@ -96,14 +96,17 @@ class Counted:
         once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
         return max(once / max(once + 2 * twice, 1), 0.1)
 
-    def probability(self, k, before, word):
+    def whatever_before(self, k, word):
         pairs = self.classes[k]
         words, stems = Counter(w for _, w in pairs), Counter(self.stem(w) for _, w in pairs)
         stem, n = self.stem(word), sum(words.values())
         of_stem, rest = self.off(stems, stem, n, self.of_stem[stem] / len(self.corpus))
         p = of_stem + rest
         p, rest = self.off(words, word, n, p * self.of_word[word] / self.of_stem[stem])
-        p += rest
+        return p + rest
+
+    def probability(self, k, before, word):
+        pairs, p = self.classes[k], self.whatever_before(k, word)
         after = Counter({w: c for (b, w), c in pairs.items() if b == before})
         if not after:
             return p
@@ -132,9 +135,13 @@ def test_probabilities_equal_kneser_ney_by_the_book(documents):
     book, model = _small_model(documents)
     for text in [*CORPUS[::4], "blork ta snarv the the", CORPUS[3] + " " + CORPUS[55]]:
         ratios = [np.log(book.probability(0, b, w) / book.probability(1, b, w)) for b, w in book.pairs(text)]
-        found = model.evidence(pa.array([text]))[0, 0]
+        found = model.evidence(pa.array([text]))[0]
         assert found[1] == pytest.approx(10 * np.mean(ratios), rel=1e-3, abs=1e-4)
         assert found[2] == pytest.approx(max(ratios), rel=1e-3, abs=1e-4)
+        alone = sorted((np.log(book.whatever_before(0, w) / book.whatever_before(1, w)) for _, w in book.pairs(text)), reverse=True)
+        assert found[1 + 4] == pytest.approx(10 * np.mean(alone), rel=1e-3, abs=1e-4)
+        want = [alone[k] if k < len(alone) else min(alone[-1], 0) for k in X.RANKS]
+        assert found[1 + 2 * 4 : -1] == pytest.approx(want, rel=1e-3, abs=1e-4)
 
 
 def test_probabilities_sum_to_one_over_the_corpus(documents):
@@ -151,7 +158,8 @@ def test_probabilities_sum_to_one_over_the_corpus(documents):
         assert model.lexicon.word_share[places[2]][known] == pytest.approx(word_share[known])
         assert model.lexicon.stem_share[places[3]][stem] == pytest.approx(stem_share[stem])
         assert known.sum() not in (0, len(known))
-        for one in model.classes[0]:
+        for one in model.classes:
+            assert one.of_word(*places[2:], word_share, stem_share).sum() == pytest.approx(1, abs=1e-4)
             assert one.probability(*places, word_share, stem_share).sum() == pytest.approx(1, abs=1e-4)
 
 
@@ -198,7 +206,7 @@ def test_temperature_is_fitted_on_unseen_rows():
 
 
 def brute_vectors(texts):
-    """Context vectors of all units of all texts, in 127ths, by plain loops."""
+    """Context vectors of all units of all texts, rounded as stored, by plain loops."""
     def units(text):
         return [w.encode() for w in re.findall(r"[^\W\d_]+|\d+|[^\w\s]+|_+", text or "")]
 

@@ -12,8 +12,10 @@ own counts of counts, and each summing to one over the words of the corpus:
 
 A text's evidence is its log-likelihood under the toxic model less that under the ordinary one,
 divided by length: over the whole text and over its most toxic window of 1, 4 and 16 words, since
-one insult in a long text is enough. A logistic calibration turns it into a probability; it comes
-from labelled rows outside the counted sample.
+an insult in a long text is enough. The same is taken without the first level, from continuation
+counts alone, which a passage that one toxic text holds hardly moves; there also the 2nd, 3rd, 5th
+and 8th most toxic word count, as toxic texts have several. A logistic calibration turns all this
+into a probability; it comes from labelled rows outside the counted sample.
 
 Shared shares of words and stems that neither class has counted stand in both likelihoods alike and
 fall out of their difference. So only those of counted words and stems are sent to the tasks, though
@@ -53,6 +55,10 @@ COUNT_BLOCKS = 16
 CHUNK = 1 << 18
 STEM = 5
 WINDOWS = (1, 4, 16)
+#: Words of a text, from its most toxic one on (0), whose evidence counts by itself.
+RANKS = (1, 2, 4, 7)
+#: Constant; mean and windows with and without the pairs of words; ranked words; log length.
+N_INPUTS = 1 + 2 * (1 + len(WINDOWS)) + len(RANKS) + 1
 #: The context of a text's first word.
 START = np.uint64(0x5851F42D4C957F2D)
 
@@ -223,8 +229,11 @@ class ClassModel:
 
     def probability(self, pair, before, word, stem, word_share, stem_share) -> np.ndarray:
         """Of words after words, given the shared shares of the words in their stems and of the stems."""
-        of_stem = self.stem[stem] + self.stem_rest * stem_share
-        return self.pair[pair] + self.backoff[before] * (self.word[word] + self.word_rest * of_stem * word_share)
+        return self.pair[pair] + self.backoff[before] * self.of_word(word, stem, word_share, stem_share)
+
+    def of_word(self, word, stem, word_share, stem_share) -> np.ndarray:
+        """Of words whatever stands before them."""
+        return self.word[word] + self.word_rest * (self.stem[stem] + self.stem_rest * stem_share) * word_share
 
 
 def _discounted(counts: np.ndarray, discount: float) -> tuple[np.ndarray, float]:
@@ -254,7 +263,7 @@ def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray
     return ClassModel(pair, backoff, *_discounted(words, absolute_discount(words)), *_discounted(stems, absolute_discount(stems)))
 
 
-def fit_classes(counted: pa.Table) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
+def fit_classes(counted: pa.Table) -> tuple[Lexicon, tuple[ClassModel, ClassModel]]:
     """Both classes' models from the counts of pairs.
 
     The greatest arrays of the driver are made here; each is given up as soon as the next is there.
@@ -274,14 +283,13 @@ def fit_classes(counted: pa.Table) -> tuple[Lexicon, list[tuple[ClassModel, Clas
     stem_of_word[word] = stem
     both = tuple(class_model(len(words), len(stems), before, word, stem, c[order]) for c in counts)
     nothing = np.ones(1)
-    return without_idle(Lexicon(pairs, words, stems, stem_of_word, nothing, nothing), [both])
+    return without_idle(Lexicon(pairs, words, stems, stem_of_word, nothing, nothing), both)
 
 
-def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]]) -> tuple[Lexicon, list[tuple[ClassModel, ClassModel]]]:
+def without_idle(lexicon: Lexicon, classes: tuple[ClassModel, ClassModel]) -> tuple[Lexicon, tuple[ClassModel, ClassModel]]:
     """The same models without entries that say what the entry for the unseen says anyway."""
-    every = [m for both in classes for m in both]
     pairs, words, stems = (np.zeros(len(x), bool) for x in (lexicon.pairs, lexicon.words, lexicon.stems))
-    for m in every:
+    for m in classes:
         pairs |= m.pair[:-1] > 0
         words |= (m.word[:-1] > 0) | (m.backoff[:-1] != 1)
         stems |= m.stem[:-1] > 0
@@ -289,33 +297,35 @@ def without_idle(lexicon: Lexicon, classes: list[tuple[ClassModel, ClassModel]])
     small = lambda m: ClassModel(keep(m.pair, pairs), keep(m.backoff, words), keep(m.word, words), m.word_rest, keep(m.stem, stems), m.stem_rest)
     new_place = np.append(np.where(stems, np.cumsum(stems) - 1, stems.sum()), stems.sum())  # of each stem, and of none
     kept = replace(lexicon, pairs=lexicon.pairs[pairs], words=lexicon.words[words], stems=lexicon.stems[stems], stem_of_word=new_place[lexicon.stem_of_word[words]])
-    return kept, [tuple(map(small, both)) for both in classes]
+    return kept, tuple(map(small, classes))
 
 
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
     #: (toxic, ordinary).
-    classes: list[tuple[ClassModel, ClassModel]]
+    classes: tuple[ClassModel, ClassModel]
     weights: np.ndarray
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
-        """By text and discounts: constant, mean evidence, the best window of each length, log length."""
+        """N_INPUTS of every text."""
         text = read_words(texts)
-        out = np.zeros((len(text.first) - 1, len(self.classes), 3 + len(WINDOWS)))
-        out[:, :, 0] = 1
-        out[:, :, -1] = np.log(np.maximum(np.diff(text.first), 1))[:, None]
+        out = np.zeros((len(text.first) - 1, N_INPUTS))
+        out[:, 0] = 1
+        out[:, -1] = np.log(np.maximum(np.diff(text.first), 1))
         for low, high in W.row_chunks(text.first, CHUNK):
             first = text.first[low : high + 1] - text.first[low]
             part = slice(text.first[low], text.first[high])
             places = self.lexicon.places(text, part)
             shared = self.lexicon.word_share[places[2]], self.lexicon.stem_share[places[3]]
-            for k, (toxic, ordinary) in enumerate(self.classes):
-                out[low:high, k, 1:-1] = _spans(np.log(toxic.probability(*places, *shared) / ordinary.probability(*places, *shared)), first)
+            words = [m.of_word(*places[2:], *shared) for m in self.classes]
+            whole = [m.pair[places[0]] + m.backoff[places[1]] * w for m, w in zip(self.classes, words)]
+            alone = np.log(words[0] / words[1])
+            out[low:high, 1:-1] = np.concatenate([_spans(np.log(whole[0] / whole[1]), first), _spans(alone, first), _ranked(alone, first)], axis=1)
         return out
 
     def probabilities(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.evidence(texts)[:, 0] @ self.weights, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.weights, -30, 30)))
 
 
 def _spans(ratio: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -337,6 +347,21 @@ def _spans(ratio: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ranked(ratio: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The ratios of each text's words at RANKS; a text with fewer words gives its least, or 0 if that is greater."""
+    n = np.diff(first)
+    rows = np.repeat(np.arange(len(n)), n)
+    span = float(np.abs(ratio).max(initial=0)) * 2 + 1
+    best = ratio[np.argsort(rows * span - ratio)]
+    out = np.zeros((len(n), len(RANKS)))
+    for k, rank in enumerate(RANKS):
+        enough = n > rank
+        out[enough, k] = best[first[:-1][enough] + rank]
+        few = (n > 0) & ~enough
+        out[few, k] = np.minimum(best[first[1:][few] - 1], 0)
+    return out
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
     """Newton steps, halved until the loss falls, for a logistic regression with a small ridge on all but the constant."""
     share = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
@@ -394,14 +419,14 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic",
 
     def evidence(batches):
         for batch in W.pieces(batches):
-            inputs = sent.value.evidence(batch.column(0)).reshape(batch.num_rows, -1)
+            inputs = sent.value.evidence(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array(list(inputs), pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["inputs", "label", "doc_id"])
 
     seen = sample.where("calibrates").select("text", "label", "doc_id").mapInArrow(evidence, "inputs array<double>, label int, doc_id long").toArrow().sort_by("doc_id")
     sent.unpersist()
-    inputs = np.array(seen["inputs"].to_pylist(), float).reshape(len(seen), len(classes), 3 + len(WINDOWS))
+    inputs = np.array(seen["inputs"].to_pylist(), float).reshape(len(seen), N_INPUTS)
     y = seen["label"].to_numpy()
-    return ToxicityModel(lexicon, classes, fit_logistic(inputs[:, 0], y))
+    return ToxicityModel(lexicon, classes, fit_logistic(inputs, y))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
