@@ -83,32 +83,42 @@ CUSTOMER_LABELS: dict[str, Callable[[], Column]] = {
 }
 
 
+#: Reports that also tell what a group's customers are worth.
+VALUE_REPORTS = ("churn_by_rfm_tier", "returns_analysis")
+
+
 def customer_groups(
     customers: DataFrame, names: Sequence[str] = tuple(CUSTOMER_LABELS)
 ) -> DataFrame:
     """Counts, churn and value of every group of every named report, from one pass.
 
     A customer becomes one row for each report, and these combine to one row a group in the task
-    that reads them; as many rows come out as the reports have labels.
+    that reads them; as many rows come out as the reports have labels. Value and orders are read
+    only if a named report tells them.
     """
     entries = [
         F.struct(F.lit(name).alias("report"), CUSTOMER_LABELS[name]().alias("group"))
         for name in names
     ]
     retained = 1 - F.col("churned")
-    return (
-        customers.select("churned", "monetary", "frequency", F.inline(F.array(*entries)))
-        .select("churned", "monetary", "frequency", "report", "group.label", "group.sort_order")
-        .groupBy("report", "label", "sort_order")
-        .agg(
-            F.count(F.lit(1)).alias("total_customers"),
-            F.sum("churned").alias("churned_customers"),
-            rate_pct(F.col("churned")).alias("churn_rate_pct"),
-            F.sum(retained).alias("retained_customers"),
-            rate_pct(retained).alias("retention_pct"),
+    read, measures = ["churned"], [
+        F.count(F.lit(1)).alias("total_customers"),
+        F.sum("churned").alias("churned_customers"),
+        rate_pct(F.col("churned")).alias("churn_rate_pct"),
+        F.sum(retained).alias("retained_customers"),
+        rate_pct(retained).alias("retention_pct"),
+    ]
+    if set(names) & set(VALUE_REPORTS):
+        read += ["monetary", "frequency"]
+        measures += [
             rounded(mean_money(F.col("monetary")), 2).alias("mean_revenue"),
             rounded(F.avg("frequency"), 1).alias("avg_orders"),
-        )
+        ]
+    return (
+        customers.select(*read, F.inline(F.array(*entries)))
+        .select(*read, "report", "group.label", "group.sort_order")
+        .groupBy("report", "label", "sort_order")
+        .agg(*measures)
     )
 
 
