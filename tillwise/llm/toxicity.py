@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm import words as W
-from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, pack, tree_sum, unpack
+from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, pack, stored, tree_sum, unpack
 
 #: Labelled rows counted for each class, in hash order, and the most bytes of text they may hold.
 FIT_ROWS = 4_000
@@ -52,6 +52,8 @@ HELD_PAIRS = 4_000_000
 #: Bits of a pair's name beside its bucket and its word or stem.
 PAIR_BITS = 40
 COUNT_BLOCKS = 16
+#: Pieces in which the driver fetches the sample's counts.
+PIECES = 8
 CHUNK = 1 << 18
 STEM = 5
 WINDOWS = (1, 4, 16)
@@ -159,8 +161,11 @@ def unpack_pairs(payload: bytes) -> np.ndarray:
     return (np.repeat(np.cumsum(kinds), counts).astype(np.uint64) << np.uint64(PAIR_BITS)) | wide.view("<u8").reshape(-1)
 
 
-def pair_counts(sample: DataFrame) -> pa.Table:
-    """before, word, stem, toxic, ordinary: how often each pair occurs in the (text, label) sample."""
+def pair_counts(sample: DataFrame) -> dict[str, np.ndarray]:
+    """before, word, stem, toxic, ordinary: how often each pair occurs in the (text, label) sample.
+
+    The counts are stored and fetched in PIECES, so that the driver never holds them twice.
+    """
 
     def partial(batches):
         for batch in W.pieces(batches):
@@ -171,12 +176,19 @@ def pair_counts(sample: DataFrame) -> pa.Table:
             keys = [pa.array(x[at].view(np.int64)) for x in (text.before, text.word, text.stem)]
             yield pa.RecordBatch.from_arrays([*keys, *(pa.array(c.astype(np.int32)) for c in counts)], ["before", "word", "stem", "toxic", "ordinary"])
 
-    return (
+    counts = stored(
         sample.mapInArrow(partial, "before long, word long, stem long, toxic int, ordinary int")
         .groupBy("before", "word")
         .agg(F.min("stem").alias("stem"), F.sum("toxic").cast("int").alias("toxic"), F.sum("ordinary").cast("int").alias("ordinary"))
-        .toArrow()
     )
+    size, at = counts.count(), 0
+    out = {c: np.empty(size, np.uint64 if c in ("before", "word", "stem") else np.int32) for c in counts.columns}
+    for k in range(PIECES):
+        piece = counts.where(F.pmod("word", F.lit(PIECES)) == k).toArrow()
+        for c, values in out.items():
+            values[at : at + len(piece)] = piece[c].to_numpy().view(values.dtype)
+        at += len(piece)
+    return out
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -263,25 +275,22 @@ def class_model(n_words: int, n_stems: int, before: np.ndarray, word: np.ndarray
     return ClassModel(pair, backoff, *_discounted(words, absolute_discount(words)), *_discounted(stems, absolute_discount(stems)))
 
 
-def fit_classes(counted: pa.Table) -> tuple[Lexicon, tuple[ClassModel, ClassModel]]:
+def fit_classes(counted: dict[str, np.ndarray]) -> tuple[Lexicon, tuple[ClassModel, ClassModel]]:
     """Both classes' models from the counts of pairs.
 
     The greatest arrays of the driver are made here; each is given up as soon as the next is there.
     """
-    before, word, stem = (counted[c].to_numpy().view(np.uint64) for c in ("before", "word", "stem"))
-    counts = [counted[c].to_numpy() for c in ("toxic", "ordinary")]
-    del counted
-    pairs = pair_hash(before, word)
+    words = np.unique(np.concatenate([np.unique(counted["before"]), np.unique(counted["word"])]))
+    stems = np.unique(counted["stem"])
+    stem = np.searchsorted(stems, counted.pop("stem")).astype(np.int32)
+    pairs = pair_hash(counted["before"], counted["word"])
+    before = np.searchsorted(words, counted.pop("before")).astype(np.int32)
+    word = np.searchsorted(words, counted.pop("word")).astype(np.int32)
     order = np.argsort(pairs).astype(np.int32)
-    pairs = pairs[order]
-    words = np.unique(np.concatenate([np.unique(before), np.unique(word)]))
-    stems = np.unique(stem)
-    before = np.searchsorted(words, before).astype(np.int32)[order]
-    word = np.searchsorted(words, word).astype(np.int32)[order]
-    stem = np.searchsorted(stems, stem).astype(np.int32)[order]
+    pairs, before, word, stem = pairs[order], before[order], word[order], stem[order]
     stem_of_word = np.full(len(words), len(stems))
     stem_of_word[word] = stem
-    both = tuple(class_model(len(words), len(stems), before, word, stem, c[order]) for c in counts)
+    both = tuple(class_model(len(words), len(stems), before, word, stem, counted.pop(c)[order]) for c in ("toxic", "ordinary"))
     nothing = np.ones(1)
     return without_idle(Lexicon(pairs, words, stems, stem_of_word, nothing, nothing), both)
 
