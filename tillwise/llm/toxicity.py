@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm import words as W
-from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, pack, stored, tree_sum, unpack
+from tillwise.llm.tables import SUM_SCHEMA, block_rows, held_out, pack, shared_folder, tree_sum, unpack
 
 #: Labelled rows counted for each class, in hash order, and the most bytes of text they may hold.
 FIT_ROWS = 4_000
@@ -176,15 +176,18 @@ def pair_counts(sample: DataFrame) -> dict[str, np.ndarray]:
             keys = [pa.array(x[at].view(np.int64)) for x in (text.before, text.word, text.stem)]
             yield pa.RecordBatch.from_arrays([*keys, *(pa.array(c.astype(np.int32)) for c in counts)], ["before", "word", "stem", "toxic", "ordinary"])
 
-    counts = stored(
+    counts = (
         sample.mapInArrow(partial, "before long, word long, stem long, toxic int, ordinary int")
         .groupBy("before", "word")
         .agg(F.min("stem").alias("stem"), F.sum("toxic").cast("int").alias("toxic"), F.sum("ordinary").cast("int").alias("ordinary"))
     )
-    size, at = counts.count(), 0
+    spark, path = sample.sparkSession, shared_folder(sample.sparkSession)
+    counts.withColumn("piece", F.pmod("word", F.lit(PIECES))).write.partitionBy("piece").parquet(path)
+    found = spark.read.schema("before long, word long, stem long, toxic int, ordinary int, piece int").parquet(path)
+    size, at = found.count(), 0
     out = {c: np.empty(size, np.uint64 if c in ("before", "word", "stem") else np.int32) for c in counts.columns}
     for k in range(PIECES):
-        piece = counts.where(F.pmod("word", F.lit(PIECES)) == k).toArrow()
+        piece = found.where(F.col("piece") == k).select(*counts.columns).toArrow()
         for c, values in out.items():
             values[at : at + len(piece)] = piece[c].to_numpy().view(values.dtype)
         at += len(piece)
